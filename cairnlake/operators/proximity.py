@@ -93,7 +93,7 @@ def neighbours(points: DataFrame, metres: float, dense: int = DENSE, split: int
     all_salts = F.when(is_hot([F.col("cell")], full), F.sequence(F.lit(0), F.lit(split - 1))).otherwise(F.array(F.lit(0)))
 
     def shaped(df: DataFrame, part: Column, p: str) -> DataFrame:
-        return df.select("cell", part.cast("int").alias("salt"), F.col("id").alias(f"id_{p}"), F.col("lon").alias(f"lon_{p}"), F.col("lat").alias(f"lat_{p}"))
+        return df.select("cell", part.alias("salt"), F.col("id").alias(f"id_{p}"), F.col("lon").alias(f"lon_{p}"), F.col("lat").alias(f"lat_{p}"))
 
     a, b, g = shaped(home, salt, "a"), shaped(home, F.explode(all_salts), "b"), shaped(guest, F.explode(all_salts), "b")
     far = (2 * sin(metres / EARTH_M / 2)) ** 2
