@@ -1,7 +1,7 @@
 """The registered queries and their SQL."""
 
-from cairnlake.plans import nearness, references
+from cairnlake.plans import nearness, references, schemas
 
-_PARTS = [references, nearness]
+_PARTS = [references, nearness, schemas]
 QUERIES = {k: v for p in _PARTS for k, v in p.QUERIES.items()}
 SQL = {k: v for p in _PARTS for k, v in p.SQL.items()}
