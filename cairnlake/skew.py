@@ -48,3 +48,18 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, sp
     parts = F.when(is_hot([right[k] for k in keys], hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     b = right.withColumn(name, F.explode(parts).cast("long"))
     return a.withColumn(name, F.col(name).cast("long")).join(b, [*keys, name], how).drop(name)
+
+
+#: Most bytes of text and keys that a table may hold to be sent to every executor.
+BROADCAST_BYTES = 32 << 20
+
+
+def broadcast_if_small(df: DataFrame, most: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """``df`` marked for broadcast if its measured size is within the bound, else as it is; ``df`` should be written already.
+
+    Measured as the bytes of its text columns and 16 bytes for each other column of a row.
+    """
+    text = [c for c, t in df.dtypes if t in ("string", "binary")]
+    row = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in text), F.lit(16 * len(df.columns)).cast("long"))
+    size = df.agg(F.sum(row)).first()[0] or 0
+    return (F.broadcast(df), True) if size <= most else (df, False)
