@@ -1,5 +1,7 @@
 """The registered queries of this package and their SQL."""
 
-_PARTS: list = []
+from cairnlake.llm import term_queries
+
+_PARTS = [term_queries]
 QUERIES = {k: v for p in _PARTS for k, v in p.QUERIES.items()}
 SQL = {k: v for p in _PARTS for k, v in p.SQL.items()}
