@@ -39,8 +39,12 @@ def postings(df: DataFrame, key: str, fields: dict[str, Column]) -> DataFrame:
     Counted per (record, field, term), so no task gathers a record or a term.
     """
     rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), *[F.transform(c, term).alias(f) for f, c in fields.items()]).distinct()
-    cells = F.inline(F.flatten(F.array(*[F.transform(F.coalesce(f, F.array().cast("array<string>")), lambda t, f=f: F.struct(F.lit(f).alias("field"), t.alias("term"))) for f in fields])))
-    return rows.select("key", cells).where("term is not null").groupBy("key", "field", "term").agg(F.count(F.lit(1)).alias("n"))
+
+    def cells(field: str) -> Column:
+        return F.transform(F.coalesce(field, F.array().cast("array<string>")), lambda t: F.struct(F.lit(field).alias("field"), t.alias("term")))
+
+    said = F.inline(F.concat(*map(cells, fields)))
+    return rows.select("key", said).where("term is not null").groupBy("key", "field", "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def pack(numbers: np.ndarray) -> bytes:
@@ -70,77 +74,66 @@ def cardinality(bitmap: bytes) -> int:
 
 
 INDEX = "field string, term string, block long, records binary, docs long, n long"
+_NAMES = ["field", "term", "block", "records", "docs", "n"]
+
+
+def _block(at: int, ids: np.ndarray, table: pa.Table, done: set[str]) -> Iterator[pa.RecordBatch]:
+    """The bitmaps of one block; ``done``: fields for which an earlier block has counted record 0 already."""
+    field, word = (table.column(c).combine_chunks().dictionary_encode() for c in ("field", "term"))
+    f, w, n = np.asarray(field.indices).astype(np.int64), np.asarray(word.indices), np.asarray(table.column("n"))
+    words = len(word.dictionary)
+    code = f * words + w
+    order = np.lexsort((ids, code))
+    sorted_ids, code = ids[order], code[order]
+    starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    ends = np.r_[starts[1:], len(code)]
+    heads = code[starts]
+    maps = [pack(sorted_ids[a:b]) for a, b in zip(starts, ends)]
+    columns = [field.dictionary.take(pa.array(heads // words)), word.dictionary.take(pa.array(heads % words)), pa.array(np.full(len(heads), at)), pa.array(maps, pa.binary()), pa.array(ends - starts), pa.array(np.add.reduceat(n[order], starts))]
+    yield pa.record_batch(columns, _NAMES)
+    totals = []
+    for k, name in enumerate(field.dictionary.to_pylist()):
+        own = np.unique(ids[f == k])
+        own = own[1:] if name in done and own[0] == 0 else own
+        totals.append((name, None, at, pack(own), len(own), int(n[f == k].sum())))
+    types = (pa.string(), pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+    yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*totals), types)], _NAMES)
+
+
+def index_blocks(batches: Iterator[pa.RecordBatch], part: int, records: int = BLOCK, most: int = MOST_POSTINGS) -> Iterator[pa.RecordBatch]:
+    """Bitmaps of one partition's postings, which come record by record."""
+    last, number, block, size = None, -1, 0, 0
+    held: list[tuple[np.ndarray, pa.RecordBatch]] = []
+    done: set[str] = set()
+    for b in batches:
+        at, n = 0, b.num_rows
+        if not n:
+            continue
+        keys = b.column("key").dictionary_encode()
+        own = np.asarray(keys.indices)
+        while at < n:
+            ids = number + np.cumsum(np.r_[keys.dictionary[own[at]].as_py() != last, own[at + 1 :] != own[at:-1]])
+            take = min(int(np.searchsorted(ids, records)), most - size)
+            if take:
+                held.append((ids[:take], b.slice(at, take).select(["field", "term", "n"])))
+                number, last = int(ids[take - 1]), keys.dictionary[own[at + take - 1]].as_py()
+                size, at = size + take, at + take
+            if at < n or size >= most:
+                ids, table = np.concatenate([h[0] for h in held]), pa.Table.from_batches([h[1] for h in held])
+                yield from _block(part * (1 << 31) + block, ids, table, done)
+                open_fields = set(table.column("field").filter(pa.array(ids == number)).to_pylist())
+                done = open_fields | done if number == 0 else open_fields
+                # the record that may go on has number 0 in the next block
+                block, number, held, size = block + 1, 0, [], 0
+    if size:
+        yield from _block(part * (1 << 31) + block, np.concatenate([h[0] for h in held]), pa.Table.from_batches([h[1] for h in held]), done)
 
 
 def vertical_index(posted: DataFrame) -> DataFrame:
     """INDEX rows: a bitmap and a counter per field, term and block; a null term stands for any term of the field."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, block, number, last = TaskContext.get().partitionId(), 0, -1, None
-        held: list[tuple] = []
-        size = 0
-        counted: set = set()  # fields already counted for the record that an early close divides
-
-        def close() -> Iterator[pa.RecordBatch]:
-            nonlocal held, size, counted
-            if not size:
-                return
-            ids = np.concatenate([h[0] for h in held])
-            table = pa.Table.from_batches([h[1] for h in held])
-            field, word = (table.column(c).combine_chunks().dictionary_encode() for c in ("field", "term"))
-            if isinstance(field, pa.ChunkedArray):
-                field, word = field.combine_chunks(), word.combine_chunks()
-            f, w = np.asarray(field.indices), np.asarray(word.indices)
-            n = np.asarray(table.column("n"))
-            code = f.astype(np.int64) * len(word.dictionary) + w
-            order = np.lexsort((ids, code))
-            code, ids2, n = code[order], ids[order], n[order]
-            starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
-            ends = np.r_[starts[1:], len(code)]
-            heads = code[starts]
-            at = part * (1 << 31) + block
-            maps = [pack(ids2[a:b]) for a, b in zip(starts, ends)]
-            yield pa.record_batch(
-                [field.dictionary.take(pa.array(heads // len(word.dictionary))), word.dictionary.take(pa.array(heads % len(word.dictionary))), pa.array(np.full(len(heads), at)), pa.array(maps, pa.binary()), pa.array(ends - starts), pa.array(np.add.reduceat(n, starts))],
-                ["field", "term", "block", "records", "docs", "n"],
-            )
-            names, rows = field.dictionary.to_pylist(), []
-            final = ids.max()
-            for k, name in enumerate(names):
-                own = np.unique(ids[f == k])
-                divided = counted and own[0] == ids.min() and name in counted
-                own = own[1:] if divided else own
-                if len(own):
-                    rows.append((name, None, at, pack(own), len(own), int(np.asarray(table.column("n"))[f == k].sum())))
-            counted = ({names[k] for k in np.unique(f[ids == final])} | (counted if ids.min() == final else set()))
-            if rows:
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.int64()))], ["field", "term", "block", "records", "docs", "n"])
-            held, size = [], 0
-
-        for b in batches:
-            while b.num_rows:
-                keys = b.column("key").dictionary_encode()
-                new = np.asarray(keys.indices)
-                change = np.r_[keys.dictionary[new[0]].as_py() != last, new[1:] != new[:-1]]
-                ids = number + np.cumsum(change)
-                take = int(np.searchsorted(ids, BLOCK))
-                take = min(take, MOST_POSTINGS - size)
-                if take:
-                    held.append((ids[:take], b.slice(0, take).select(["field", "term", "n"])))
-                    size += take
-                    number, last = int(ids[take - 1]), keys.dictionary[new[take - 1]].as_py()
-                if take < b.num_rows or size >= MOST_POSTINGS:
-                    goes_on = take < b.num_rows and b.column("key")[take].as_py() == last
-                    yield from close()
-                    block += 1
-                    if goes_on or take == b.num_rows:
-                        number = 0  # the record may go on in the next block under number 0
-                    else:
-                        number, counted = -1, set()
-                b = b.slice(take)
-                if number == 0 and size == 0 and b.num_rows and b.column("key")[0].as_py() != last:
-                    number, counted = -1, set()
-        yield from close()
+        yield from index_blocks(batches, TaskContext.get().partitionId())
 
     return posted.repartition("key").sortWithinPartitions("key").mapInArrow(build, INDEX)
 
