@@ -1,7 +1,7 @@
 """The registered queries of this package and their SQL."""
 
-from cairnlake.llm import term_queries
+from cairnlake.llm import term_queries, token_queries
 
-_PARTS = [term_queries]
+_PARTS = [term_queries, token_queries]
 QUERIES = {k: v for p in _PARTS for k, v in p.QUERIES.items()}
 SQL = {k: v for p in _PARTS for k, v in p.SQL.items()}
