@@ -66,14 +66,30 @@ def columns_of(schema: Column) -> Column:
     )
 
 
-def versions(assets: DataFrame, formats: DataFrame | None = None) -> DataFrame:
-    """One row per dataset and version: columns, fingerprint and format (by ``formats``: run_id, format)."""
-    rows = assets.where("dataset_id is not null and version is not null").select(
-        "dataset_id", F.col("version").cast("int").alias("version"), "run_id", columns_of(F.col("metadata.column_schema")).alias("columns"), F.struct("created_at", "asset_id").alias("order"),
-    )
-    one = rows.groupBy("dataset_id", "version").agg(F.max_by(F.struct("columns", "run_id"), "order").alias("last")).select("dataset_id", "version", "last.*")
-    one = one.withColumn("fingerprint", F.xxhash64("columns"))
-    return one.withColumn("format", F.lit(None).cast("string")).drop("run_id") if formats is None else one.join(formats, "run_id", "left").drop("run_id")
+def _rows(assets: DataFrame) -> DataFrame:
+    order = F.struct("created_at", "asset_id").alias("order")
+    return assets.where("dataset_id is not null and version is not null").select("dataset_id", F.col("version").cast("int").alias("version"), "run_id", columns_of(F.col("metadata.column_schema")).alias("columns"), order)
+
+
+def versions(assets: DataFrame) -> DataFrame:
+    """dataset_id, version, columns, fingerprint: one row per version."""
+    one = _rows(assets).groupBy("dataset_id", "version").agg(F.max_by("columns", "order").alias("columns"))
+    return one.withColumn("fingerprint", F.xxhash64("columns"))
+
+
+def successions(assets: DataFrame, formats: DataFrame | None = None, bucket: int = BUCKET) -> DataFrame:
+    """dataset_id, version, before, format, old_format: each version with the one before it among those that are there.
+
+    Works on the versions' numbers and formats (``formats``: run_id, format) alone, without their schemas.
+    """
+    keys = _rows(assets).groupBy("dataset_id", "version").agg(F.max_by("run_id", "order").alias("run_id"))
+    keys = keys.withColumn("format", F.lit(None).cast("string")) if formats is None else keys.join(formats, "run_id", "left")
+    keys = keys.select("dataset_id", F.floor(F.col("version") / bucket).alias("bucket"), F.struct("version", "format").alias("it"))
+    last = keys.groupBy("dataset_id", "bucket").agg(F.max("it").alias("last"))
+    last = last.withColumn("carried", F.lag("last").over(Window.partitionBy("dataset_id").orderBy("bucket"))).drop("last")
+    within = keys.withColumn("near", F.lag("it").over(Window.partitionBy("dataset_id", "bucket").orderBy("it")))
+    met = within.join(last, ["dataset_id", "bucket"]).withColumn("was", F.coalesce("near", "carried")).where("was is not null")
+    return met.select("dataset_id", "it.version", "it.format", F.col("was.version").alias("before"), F.col("was.format").alias("old_format"))
 
 
 def formats_by_run(runs: DataFrame, manifests: DataFrame, names: DataFrame) -> DataFrame:
@@ -83,15 +99,6 @@ def formats_by_run(runs: DataFrame, manifests: DataFrame, names: DataFrame) -> D
     return runs.where("run_id is not null").select("run_id", "batch_id").distinct().join(by_batch, "batch_id").groupBy("run_id").agg(F.min("format").alias("format"))
 
 
-def version_before(one: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """dataset_id, version, before: each version with the one before it among those that are there."""
-    keys = one.select("dataset_id", "version", F.floor(F.col("version") / bucket).alias("bucket"))
-    last = keys.groupBy("dataset_id", "bucket").agg(F.max("version").alias("last"))
-    last = last.withColumn("carried", F.lag("last").over(Window.partitionBy("dataset_id").orderBy("bucket"))).drop("last")
-    within = keys.withColumn("near", F.lag("version").over(Window.partitionBy("dataset_id", "bucket").orderBy("version")))
-    return within.join(last, ["dataset_id", "bucket"]).select("dataset_id", "version", F.coalesce("near", "carried").alias("before")).where("before is not null")
-
-
 def _numbered(columns: Column) -> Column:
     """Columns with their place among those of the same title."""
     return F.transform(columns, lambda c, i: F.struct(c["name"].alias("name"), c["title"].alias("title"), c["type"].alias("type"), F.size(F.filter(F.slice(columns, 1, i), lambda d: d["title"] == c["title"])).alias("nth")))
@@ -122,11 +129,10 @@ def migration(old: Column, new: Column) -> Column:
     )
 
 
-def schema_changes(one: DataFrame) -> DataFrame:
-    """CHANGE rows of every two versions that follow one another."""
-    old = one.select("dataset_id", F.col("version").alias("before"), F.col("columns").alias("old"), F.col("fingerprint").alias("old_print"), F.col("format").alias("old_format"))
-    new = one.join(version_before(one), ["dataset_id", "version"])
-    met = new.join(old, ["dataset_id", "before"]).where("fingerprint <> old_print or format <> old_format")
+def schema_changes(one: DataFrame, order: DataFrame) -> DataFrame:
+    """CHANGE rows of every two versions that follow one another: ``versions`` in the order of ``successions``."""
+    old = one.select("dataset_id", F.col("version").alias("before"), F.col("columns").alias("old"), F.col("fingerprint").alias("old_print"))
+    met = one.join(order, ["dataset_id", "version"]).join(old, ["dataset_id", "before"]).where("fingerprint <> old_print or format <> old_format")
     of_columns = F.when(F.col("fingerprint") != F.col("old_print"), migration(F.col("old"), F.col("columns")))
     of_format = F.when(F.col("format") != F.col("old_format"), F.array(F.struct(F.lit("format").alias("change"), F.col("old_format").alias("old_name"), F.col("format").alias("new_name"))))
     none = F.array().cast("array<struct<change:string,old_name:string,new_name:string>>")

@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnlake.operators.drift import consistent_rows, formats_by_run, schema_changes, versions
+from cairnlake.operators.drift import consistent_rows, formats_by_run, schema_changes, successions, versions
 from cairnlake.sources.tables import table
 
 
-def _versions(spark: SparkSession, d: str) -> DataFrame:
-    return versions(table(spark, d, "assets"), formats_by_run(table(spark, d, "runs"), table(spark, d, "manifests"), table(spark, d, "format_names")))
+def _changes(spark: SparkSession, d: str) -> DataFrame:
+    assets = table(spark, d, "assets")
+    formats = formats_by_run(table(spark, d, "runs"), table(spark, d, "manifests"), table(spark, d, "format_names"))
+    return schema_changes(versions(assets), successions(assets, formats))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Every change from one version of a dataset to the next."""
-    return schema_changes(_versions(spark, d))
+    return _changes(spark, d)
 
 
 def p5_report(spark: SparkSession, d: str) -> DataFrame:
@@ -25,8 +27,7 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_table(spark: SparkSession, d: str) -> DataFrame:
     """All raw files as one table under the last schema of their dataset, a row per cell."""
-    one = _versions(spark, d)
-    return consistent_rows(table(spark, d, "raw_files"), one, schema_changes(one), table(spark, d, "format_names"))
+    return consistent_rows(table(spark, d, "raw_files"), versions(table(spark, d, "assets")), _changes(spark, d), table(spark, d, "format_names"))
 
 
 _FOUND = r"""
