@@ -127,13 +127,13 @@ def lineage_edges(assets: DataFrame, runs: DataFrame, manifests: DataFrame) -> D
 def parents(edges: DataFrame, assets: DataFrame, of: DataFrame | None = None) -> DataFrame:
     """target_asset_id with the rows of the assets it came from; edges to assets that are gone are skipped."""
     own = edges if of is None else edges.join(of.select(F.col("asset_id").alias("target_asset_id")), "target_asset_id", "left_semi")
-    return own.join(assets, own["source_asset_id"] == assets["asset_id"]).select("target_asset_id", "transformation", *[assets[c] for c in assets.columns])
+    return own.alias("e").join(assets.alias("a"), F.expr("e.source_asset_id = a.asset_id")).select("e.target_asset_id", "e.transformation", "a.*")
 
 
 def children(edges: DataFrame, assets: DataFrame, of: DataFrame | None = None) -> DataFrame:
     """source_asset_id with the rows of the assets made from it."""
     own = edges if of is None else edges.join(of.select(F.col("asset_id").alias("source_asset_id")), "source_asset_id", "left_semi")
-    return own.join(assets, own["target_asset_id"] == assets["asset_id"]).select("source_asset_id", "transformation", *[assets[c] for c in assets.columns])
+    return own.alias("e").join(assets.alias("a"), F.expr("e.target_asset_id = a.asset_id")).select("e.source_asset_id", "e.transformation", "a.*")
 
 
 def lineage_graph(edges: DataFrame, assets: DataFrame, focal: DataFrame) -> tuple[DataFrame, DataFrame]:
