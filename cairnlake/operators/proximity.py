@@ -146,14 +146,16 @@ def _at(edges: np.ndarray, y: float) -> np.ndarray:
 def _ordered(edges: np.ndarray, y0: float, y1: float) -> Iterator[tuple[float, float, np.ndarray]]:
     """The slab as it is, or cut where edges of a polygon that isn't simple cross."""
     a, b = _at(edges, y0), _at(edges, y1)
-    order = np.lexsort((b, a))
+    order = np.argsort(a + b, kind="stable")
     a, b, edges = a[order], b[order], edges[order]
-    swap = np.flatnonzero(b[:-1] > b[1:])
-    if len(swap):
-        i = swap[0]
-        rise = (a[i + 1] - a[i]) / ((a[i + 1] - a[i]) + (b[i] - b[i + 1]))
-        y = y0 + rise * (y1 - y0)
-        if y0 < y < y1 and y1 - y0 > 1e-12:
+    over_a, over_b = a[:-1] - a[1:], b[:-1] - b[1:]
+    slack = 1e-12 * np.maximum(1, np.abs(a[1:]))
+    crossing = np.flatnonzero((over_a > slack) | (over_b > slack))
+    if len(crossing):
+        i = crossing[0]
+        part = over_a[i] / (over_a[i] - over_b[i])
+        y = y0 + part * (y1 - y0)
+        if 1e-9 < part < 1 - 1e-9 and y0 < y < y1:
             yield from _ordered(edges, y0, y)
             yield from _ordered(edges, y, y1)
             return

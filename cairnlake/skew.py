@@ -46,8 +46,8 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, sp
     name = "__salt"
     a = left.withColumn(name, F.when(is_hot([left[k] for k in keys], hot), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0)))
     parts = F.when(is_hot([right[k] for k in keys], hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    b = right.withColumn(name, F.explode(parts).cast("long"))
-    return a.withColumn(name, F.col(name).cast("long")).join(b, [*keys, name], how).drop(name)
+    b = right.withColumn(name, F.explode(parts))
+    return a.withColumn(name, F.col(name).cast("int")).join(b, [*keys, name], how).drop(name)
 
 
 #: Most bytes of text and keys that a table may hold to be sent to every executor.
