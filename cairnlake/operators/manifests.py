@@ -129,7 +129,7 @@ def form_to_manifest(df: DataFrame) -> DataFrame:
         if c in out.columns:
             out = out.withColumn(c, F.col(c).try_cast("int"))
     if "keywords" in out.columns:
-        out = out.withColumn("keywords", F.filter(F.transform(F.split("keywords", ","), F.trim), lambda k: k != ""))
+        out = out.withColumn("keywords", F.filter(F.transform(F.split("keywords", ","), lambda k: F.trim(k)), lambda k: k != ""))
     if "how" in out.columns:
         out = out.withColumn("how", F.coalesce("how", F.lit("left")))
     if "right_key" in out.columns:
