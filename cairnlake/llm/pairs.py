@@ -145,7 +145,7 @@ def item_pairs(baskets: DataFrame, least: int = 1) -> DataFrame:
     product. Items are numbered; the dictionary is broadcast only if it measures small, else joined with hot items split.
     """
     rows = baskets.select("key", "item").where("key is not null and item is not null").distinct()
-    number_of = rows.select("key").distinct().agg(F.count(F.lit(1)).alias("baskets"))
+    total = rows.select("key").distinct().count()
     items = rows.groupBy("item").agg(F.count(F.lit(1)).alias("count")).where(F.col("count") >= least)
     items = cut_lineage(items.withColumn("number", F.monotonically_increasing_id()))
     dictionary, small = broadcast_if_small(items)
@@ -155,9 +155,9 @@ def item_pairs(baskets: DataFrame, least: int = 1) -> DataFrame:
         counts = counts.join(dictionary.select(F.col("number").alias(f"item_{p}"), F.col("item").alias(f"name_{p}"), F.col("count").alias(f"n_{p}")), f"item_{p}")
     first = F.col("name_a") < F.col("name_b")
     pick = lambda x, y: F.when(first, F.col(x)).otherwise(F.col(y))
-    out = counts.crossJoin(F.broadcast(number_of)).select(  # one row
+    out = counts.select(
         pick("name_a", "name_b").alias("item_a"), pick("name_b", "name_a").alias("item_b"), F.col("n").alias("together"),
-        pick("n_a", "n_b").alias("count_a"), pick("n_b", "n_a").alias("count_b"), "baskets",
+        pick("n_a", "n_b").alias("count_a"), pick("n_b", "n_a").alias("count_b"), F.lit(total).cast("long").alias("baskets"),
     )
     return out.withColumn("lift", F.col("together") * F.col("baskets") / (F.col("count_a").cast("double") * F.col("count_b")))
 
