@@ -232,3 +232,32 @@ def asset_faults(assets: DataFrame) -> DataFrame:
     }
     faults = F.filter(F.array(*[F.when(c, F.lit(k)) for k, c in rules.items()]), lambda f: f.isNotNull())
     return assets.select("asset_id", F.explode(faults).alias("fault")).distinct()
+
+
+# --- other engines' run records, migrations, keys ------------------------------------------------------------------
+
+
+def run_rows(runs: DataFrame) -> DataFrame:
+    """Runs as an orchestrator reports them (tags as key-value pairs, times in epoch seconds) as catalog rows."""
+    tags = F.map_from_entries(F.coalesce("tags", F.array().cast("array<struct<key:string,value:string>>")))
+    return runs.withColumns({"tags": tags, "started_at": F.timestamp_seconds("start_time"), "completed_at": F.timestamp_seconds("end_time")}).withColumn("batch_id", F.try_element_at("tags", F.lit("batch_id"))).drop("start_time", "end_time")
+
+
+def event_rows(events: DataFrame) -> DataFrame:
+    """Events with times in epoch milliseconds as timestamps."""
+    return events.withColumn("at", F.timestamp_millis(F.col("timestamp").cast("long"))).drop("timestamp")
+
+
+def pending(discovered: DataFrame, applied: DataFrame, version: str = "version") -> DataFrame:
+    """Migrations that are there and not applied, in order."""
+    return discovered.join(applied.select(version).distinct(), version, "left_anti").orderBy(version)
+
+
+def last_keys(keys: DataFrame, key: str = "key", seq: str = "seq", most: int = 500) -> DataFrame:
+    """The ``most`` keys seen last, each once: a top-k, not a window over everything."""
+    return keys.groupBy(key).agg(F.max(seq).alias(seq)).orderBy(F.desc(seq), key).limit(most)
+
+
+def primitive_tags(tags: Column) -> Column:
+    """Tags without nested values, of a map from JSON."""
+    return F.map_filter(tags, lambda _, v: v.isNotNull() & ~v.rlike(r"(?s)^\s*[\[{]"))
