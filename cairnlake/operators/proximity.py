@@ -77,17 +77,33 @@ def neighbours(points: DataFrame, metres: float, dense: int = DENSE, split: int
     own = band(F.col("lat"))
     unit = {"x": F.cos(F.radians("lat")) * F.cos(F.radians("lon")), "y": F.cos(F.radians("lat")) * F.sin(F.radians("lon")), "z": F.sin(F.radians("lat"))}
     home = points.withColumn("cell", cell(own, F.col("lon")))
-    # a reach of half a cell's side touches at most two bands and, in each, two cells
-    step, turn = F.lit(degrees(reach)), _reach(F.lit(reach), F.col("lat"))
-    near_bands = F.array_distinct(F.array(band(F.col("lat") - step), band(F.col("lat") + step)))
-
-    def reached(b: Column) -> Column:
-        n = cells_in(b)
-        first, last = (F.floor((F.col("lon") + s * turn + 180) / 360 * n) for s in (-1, 1))
-        return F.transform(F.sequence(first, F.least(last, first + n - 1)), lambda j: b * F.lit(1 << 31) + F.pmod(j, n))
-
-    visits = F.array_distinct(F.flatten(F.transform(near_bands, reached)))
-    guest = home.withColumn("own", F.col("cell")).withColumn("cell", F.explode(F.filter(visits, lambda c: c > F.col("own")))).drop("own")
+    # a reach of half a cell's side touches at most two bands and, away from the poles, at most three cells in each
+    step = F.lit(degrees(reach))
+    sides = (0, 1)
+    staged = home.withColumnRenamed("cell", "own").withColumns({"turn": _reach(F.lit(reach), F.col("lat")), "band0": band(F.col("lat") - step), "band1": band(F.col("lat") + step)})
+    staged = staged.withColumns({f"n{k}": cells_in(F.col(f"band{k}")) for k in sides})
+    ends = {f"{name}{k}": F.floor((F.col("lon") + sign * F.col("turn") + 180) / 360 * F.col(f"n{k}")) for k in sides for name, sign in (("first", -1), ("last", 1))}
+    staged = staged.withColumns(ends).withColumns({f"last{k}": F.least(f"last{k}", F.col(f"first{k}") + F.col(f"n{k}") - 1) for k in sides})
+
+    def numbered(k: int, j: Column) -> Column:
+        return F.col(f"band{k}") * F.lit(1 << 31) + F.pmod(j, F.col(f"n{k}"))
+
+    def all_of(k: int) -> Column:
+        return F.transform(F.sequence(f"first{k}", f"last{k}"), lambda j: numbered(k, j))
+
+    def guests(df: DataFrame, visits: Column) -> DataFrame:
+        """Rows of the visits to cells of greater number.
+
+        The lambda keeps this projection out of the fused stage, whose one method would be too long for the JVM to compile;
+        outer, as the optimizer would else filter on the array's size and compute it twice.
+        """
+        laid = df.withColumn("visits", F.filter(F.array_distinct(visits), lambda c: c > F.col("own")))
+        return laid.select("id", "lon", "lat", F.explode_outer("visits").alias("cell")).where("cell is not null")
+
+    few = F.array(*[numbered(k, j) for k in sides for j in (F.col(f"first{k}"), F.least(F.col(f"first{k}") + 1, F.col(f"last{k}")), F.col(f"last{k}"))])
+    every = F.concat(*[all_of(k) for k in sides])
+    polar = F.abs("lat") > 85
+    guest = guests(staged.where(~polar), few).unionByName(guests(staged.where(polar), every))
     full = hot_keys(home, ["cell"], dense)
     salt = F.when(is_hot([F.col("cell")], full), F.pmod(F.xxhash64("id"), F.lit(split))).otherwise(F.lit(0)).cast("int")
     all_salts = F.when(is_hot([F.col("cell")], full), F.sequence(F.lit(0), F.lit(split - 1))).otherwise(F.array(F.lit(0)))
