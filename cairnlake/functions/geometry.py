@@ -13,11 +13,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cairnlake.functions.wkb import COLLECTION, LINESTRING, MULTILINESTRING, MULTIPOINT, MULTIPOLYGON, POINT, POLYGON, _Reader, encode_points, walk
+from cairnlake.functions.wkb import COLLECTION, LINESTRING, MULTILINESTRING, MULTIPOINT, MULTIPOLYGON, POINT, POLYGON, _Reader, decode_points, encode_points, walk
 
 #: Names of type codes.
 NAMES = {POINT: "POINT", LINESTRING: "LINESTRING", POLYGON: "POLYGON", MULTIPOINT: "MULTIPOINT", MULTILINESTRING: "MULTILINESTRING", MULTIPOLYGON: "MULTIPOLYGON", COLLECTION: "GEOMETRYCOLLECTION"}
@@ -56,11 +58,16 @@ def _box(wkb: bytes | None) -> tuple | None:
     return (*points.min(axis=0), *points.max(axis=0)) if len(points) else None
 
 
-@F.pandas_udf(BOX)
-def box(geom: pd.Series) -> pd.DataFrame:
-    """minx, miny, maxx, maxy of each geometry."""
-    rows = [_box(g) or (None,) * 4 for g in geom]
-    return pd.DataFrame([(r[0], r[1], r[2], r[3]) for r in rows], columns=["minx", "miny", "maxx", "maxy"], dtype="float64")
+@F.arrow_udf(BOX)
+def box(geom: pa.Array) -> pa.Array:
+    """minx, miny, maxx, maxy of each geometry: points all at once, others one by one."""
+    lon, lat = decode_points(geom)
+    sides = np.stack([lon, lat, lon, lat])
+    sides[:, ~np.isfinite(lon + lat)] = np.nan
+    for i in np.flatnonzero(np.isnan(sides[0]) & np.asarray(geom.is_valid())):
+        sides[:, i] = _box(geom[i].as_py()) or np.nan
+    nothing = pa.array(np.isnan(sides[0]))
+    return pa.StructArray.from_arrays([pa.array(c, mask=np.isnan(c)) for c in sides], ["minx", "miny", "maxx", "maxy"], mask=nothing)
 
 
 def extent(b: Column) -> Column:
@@ -69,12 +76,12 @@ def extent(b: Column) -> Column:
     return F.when(F.count(b["minx"]) > 0, F.struct(*sides))
 
 
-@F.pandas_udf(T.BinaryType())
-def point(x: pd.Series, y: pd.Series) -> pd.Series:
+@F.arrow_udf(T.BinaryType())
+def point(x: pa.Array, y: pa.Array) -> pa.Array:
     """WKB points of coordinates; null where either is null."""
-    out = pd.Series(encode_points(x.to_numpy(float), y.to_numpy(float)), dtype=object)
-    out[(x.isna() | y.isna()).to_numpy()] = None
-    return out
+    both = np.asarray(x.is_valid()) & np.asarray(y.is_valid())
+    x, y = (np.asarray(c.cast(pa.float64()).fill_null(0.0)) for c in (x, y))
+    return pc.if_else(pa.array(both), encode_points(x, y), pa.scalar(None, pa.large_binary())).cast(pa.binary())
 
 
 def _head(kind: int) -> bytes:

@@ -52,14 +52,15 @@ def decode_points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return lon, lat
 
 
-def encode_points(x: np.ndarray, y: np.ndarray) -> list[bytes]:
-    """Little-endian WKB points."""
+def encode_points(x: np.ndarray, y: np.ndarray) -> pa.Array:
+    """Little-endian WKB points, in one buffer."""
     out = np.zeros((len(x), 21), np.uint8)
     out[:, 0] = 1
     out[:, 1] = POINT
     out[:, 5:13] = np.ascontiguousarray(x, "<f8").view(np.uint8).reshape(-1, 8)
     out[:, 13:21] = np.ascontiguousarray(y, "<f8").view(np.uint8).reshape(-1, 8)
-    return [r.tobytes() for r in out]
+    offsets = np.arange(0, 21 * len(x) + 1, 21, dtype=np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(x), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
 
 
 class _Reader:

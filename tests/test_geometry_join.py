@@ -61,7 +61,7 @@ def test_points_round_trip(points):
     import pyarrow as pa
 
     x, y = (np.array([p[i] for p in points], float) for i in (0, 1))
-    lon, lat = decode_points(pa.array([*encode_points(x, y), None, b"", b"\x01\x01"], pa.binary()))
+    lon, lat = decode_points(pa.array([*encode_points(x, y).to_pylist(), None, b"", b"\x01\x01"], pa.binary()))
     assert (lon[: len(x)] == x).all() and (lat[: len(y)] == y).all() and np.isnan(lon[len(x) :]).all()
 
 
