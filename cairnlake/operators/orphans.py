@@ -49,7 +49,7 @@ def direct_orphans(c: Catalog, hot_rows: int | None = None) -> DataFrame:
     )
     asked = c.references.select(*REFERENCE).where(F.col("ref_id").isNotNull()).distinct()
     more = {} if hot_rows is None else {"rows": hot_rows}
-    met = salted_join(asked, known, ["target", "ref_id"], "left", F.col("ref_key"), **more)
+    met = salted_join(asked, known, ["target", "ref_id"], "left", F.col("ref_key"), counted=c.references.where(F.col("ref_id").isNotNull()), **more)
     state = (
         F.when(F.coalesce("here", F.lit(0)) == 0, F.when(F.col("gone") == 1, F.lit("deleted")).otherwise(F.lit("missing")))
         .when(F.col("first_seen") > F.col("as_of"), F.lit("late"))
@@ -65,7 +65,7 @@ def orphan_cascade(c: Catalog, most_rounds: int = 64, hot_rows: int | None = Non
     ``most_rounds`` bounds the loop against a defect only: a fixpoint ends after as many rounds as the longest chain.
     """
     direct = cut_lineage(direct_orphans(c, hot_rows).select(*CASE, "record_id").distinct())
-    edges = c.children.where(F.col("child_id").isNotNull() & F.col("parent_id").isNotNull()).distinct()
+    edges = cut_lineage(c.children.where(F.col("child_id").isNotNull() & F.col("parent_id").isNotNull()).distinct())
     known = direct.where("state <> 'late'").select(F.col("ref_table").alias("table"), F.col("record_id").alias("id")).distinct()
     front, found = known, []
     for n in range(1, most_rounds + 1):

@@ -34,13 +34,14 @@ def is_hot(keys: list[Column], hot: list[tuple]) -> Column:
     return F.coalesce(reduce(lambda a, b: a | b, one), F.lit(False)) if one else F.lit(False)
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, spread: Column, rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, spread: Column, rows: int = HOT_ROWS, salts: int = SALTS, counted: DataFrame | None = None) -> DataFrame:
     """Equi-join of ``left`` with ``right``; rows of a hot left key go to ``salts`` parts by ``spread``.
 
     The right side's rows of those keys (few: it is meant to be nearly unique per key) are repeated per part. The result
-    is that of the plain join; ``how`` is inner, left, left_semi or left_anti.
+    is that of the plain join; ``how`` is inner, left, left_semi or left_anti. Keys are counted in ``counted`` where that is
+    cheaper to read than ``left``.
     """
-    hot = hot_keys(left, keys, rows)
+    hot = hot_keys(left if counted is None else counted, keys, rows)
     if not hot:
         return left.join(right, keys, how)
     name = "__salt"
