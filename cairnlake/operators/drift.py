@@ -151,8 +151,9 @@ def last_names(one: DataFrame, changes: DataFrame, most_rounds: int = 40) -> Dat
     line = leave.select("dataset_id", "name", "at", F.lit(0).alias("kind"), F.struct("at", "to").alias("leaves")).unionByName(
         here.select("dataset_id", "name", "at", F.lit(1).alias("kind"), F.lit(None).cast("struct<at:int,to:string>").alias("leaves"))
     )
-    ahead = Window.partitionBy("dataset_id", "name").orderBy("at", "kind").rowsBetween(1, Window.unboundedFollowing)
-    seen = line.withColumn("next", F.first("leaves", ignorenulls=True).over(ahead)).where("kind = 1")
+    # what comes next is what came last in reverse order, where the frame only grows
+    ahead = Window.partitionBy("dataset_id", "name").orderBy(F.desc("at"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
+    seen = line.withColumn("next", F.last("leaves", ignorenulls=True).over(ahead)).where("kind = 1")
     node = seen.select("dataset_id", "at", "name", F.coalesce(F.when(F.col("next.to").isNotNull(), F.col("next.at")), F.col("at")).alias("to_at"), F.coalesce("next.to", "name").alias("to_name"))
     node = cut_lineage(node)
     for _ in range(most_rounds):
