@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 from cairnlake.lineage import cut_lineage
 from cairnlake.skew import broadcast_if_small
 
-#: Buckets over which each size class of a source is spread for drawing.
+#: Least number of buckets over which each size class of a source is spread for drawing.
 BUCKETS = 64
+#: Documents for each of which there is one more bucket.
+PER_BUCKET = 1_000_000
 #: Cells that the driver fits at most: sources by languages by topics, all of them short lists by definition.
 MOST_CELLS = 200_000
 ROUNDS = 200
@@ -96,7 +98,8 @@ def mixed(sized: DataFrame, targets: DataFrame, least_total: float = 0.1, bucket
     names = {s: i for i, (s, _, _) in enumerate(wanted)}
     pool = sized.withColumn("source", F.lower(F.trim("source"))).where(F.col("source").isin(list(names)) & (F.col("tokens") > 0))
     pool = cut_lineage(pool.select("doc_id", "source", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("topic", F.lit("")).alias("topic"), "tokens").distinct())
-    cells = pool.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens")).limit(MOST_CELLS + 1).collect()
+    cells = pool.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("documents")).limit(MOST_CELLS + 1).collect()
+    buckets = max(buckets, sum(c.documents for c in cells) // PER_BUCKET)
     if len(cells) > MOST_CELLS:
         raise ValueError(f"more than {MOST_CELLS} cells of source, language and topic")
     classes = [np.unique([c[k] for c in cells], return_inverse=True)[1] for k in ("lang", "topic")] if cells else []

@@ -30,7 +30,7 @@ ARRAY = 4096
 
 def term(c: Column) -> Column:
     """A value as a term; null where it is blank."""
-    return F.nullif(F.lower(F.regexp_replace(F.regexp_replace(c, r"(?U)\s+", " "), "^ | $", "")), F.lit(""))
+    return F.nullif(F.lower(F.trim(F.regexp_replace(c, r"(?U)\s+", " "))), F.lit(""))
 
 
 def postings(df: DataFrame, key: str, fields: dict[str, Column]) -> DataFrame:
