@@ -17,7 +17,7 @@ an empty result; other columns play no part.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import asin, cos, degrees, pi, radians, sin
+from math import atan, degrees, sin
 
 import numpy as np
 import pyarrow as pa
@@ -75,7 +75,7 @@ def neighbours(points: DataFrame, metres: float, dense: int = DENSE, split: int
         return b * F.lit(1 << 31) + F.pmod(F.floor((lon + 180) / 360 * n), n)
 
     own = band(F.col("lat"))
-    unit = {"x": F.cos(F.radians("lat")) * F.cos(F.radians("lon")), "y": F.cos(F.radians("lat")) * F.sin(F.radians("lon")), "z": F.sin(F.radians("lat"))}
+    axes = ("x", "y", "z")
     home = points.withColumn("cell", cell(own, F.col("lon")))
     # a reach of half a cell's side touches at most two bands and, away from the poles, at most three cells in each
     step = F.lit(degrees(reach))
@@ -102,7 +102,9 @@ def neighbours(points: DataFrame, metres: float, dense: int = DENSE, split: int
 
     few = F.array(*[numbered(k, j) for k in sides for j in (F.col(f"first{k}"), F.least(F.col(f"first{k}") + 1, F.col(f"last{k}")), F.col(f"last{k}"))])
     every = F.concat(*[all_of(k) for k in sides])
-    polar = F.abs("lat") > 85
+    # up to here a reach spans at most 1.4 times the width of a cell of either band
+    few_up_to = min(85.0, degrees(atan(0.3 / (2 * reach))) - 2 * side)
+    polar = F.abs("lat") > few_up_to
     guest = guests(staged.where(~polar), few).unionByName(guests(staged.where(polar), every))
     full = hot_keys(home, ["cell"], dense)
     salt = F.when(is_hot([F.col("cell")], full), F.pmod(F.xxhash64("id"), F.lit(split))).otherwise(F.lit(0)).cast("int")
@@ -119,8 +121,8 @@ def neighbours(points: DataFrame, metres: float, dense: int = DENSE, split: int
         return {"x": F.cos(lat) * F.cos(lon), "y": F.cos(lat) * F.sin(lon), "z": F.sin(lat)}[axis]
 
     def met(left: DataFrame, right: DataFrame) -> DataFrame:
-        left, right = (df.select("cell", "salt", f"id_{p}", *[chord(k, p).alias(f"{k}_{p}") for k in unit]) for df, p in ((left, "a"), (right, "b")))
-        close = sum(((F.col(f"{k}_a") - F.col(f"{k}_b")) * (F.col(f"{k}_a") - F.col(f"{k}_b")) for k in unit), F.lit(0.0)) <= F.lit(far)
+        left, right = (df.select("cell", "salt", f"id_{p}", *[chord(k, p).alias(f"{k}_{p}") for k in axes]) for df, p in ((left, "a"), (right, "b")))
+        close = sum(((F.col(f"{k}_a") - F.col(f"{k}_b")) * (F.col(f"{k}_a") - F.col(f"{k}_b")) for k in axes), F.lit(0.0)) <= F.lit(far)
         return left.join(right, ["cell", "salt"]).where(close)
 
     within = met(a, b).where("id_a < id_b").select("id_a", "id_b")

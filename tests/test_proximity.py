@@ -47,6 +47,15 @@ def test_neighbours(spark, dense, split):
     assert len(rows) == len(set(rows)) and set(rows) == want and len(want) > 500
 
 
+@pytest.mark.parametrize("metres", [2_000, 700_000, 6_000_000])
+def test_neighbours_far_apart(spark, metres):
+    rnd = random.Random(metres)
+    p = [(rnd.uniform(-180, 180), math.degrees(math.asin(rnd.uniform(-1, 1)))) for _ in range(120)] + [(rnd.uniform(10, 10.1), rnd.uniform(60, 60.1)) for _ in range(60)] + [(0.0, 90.0), (5.0, -90.0)]
+    rows = [(r.id_a, r.id_b) for r in neighbours(places(frame(spark, p), "id", "geom"), metres).collect()]
+    want = {(i, j) for i in range(len(p)) for j in range(i + 1, len(p)) if apart(p[i], p[j]) <= metres}
+    assert len(rows) == len(set(rows)) and set(rows) == want and len(want) > 50
+
+
 def inside(rings, x, y):
     odd = False
     for r in rings:
