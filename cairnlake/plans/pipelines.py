@@ -15,6 +15,7 @@ from cairnlake.functions.types import column_schema
 from cairnlake.operators import catalog
 from cairnlake.operators.keyjoin import join_stats, key_join
 from cairnlake.sinks import lake as sink
+from cairnlake.sources.containers import read_gpkg, read_shapefile
 from cairnlake.sources.files import read_csv, read_geojson, union_files
 
 Step = Callable[[DataFrame], DataFrame]
@@ -105,9 +106,27 @@ def ingest_tabular(lake: Lake, manifest: dict, run_id: str) -> dict:
     return lake.record(sink.write_version(df, lake.root, dataset_id(manifest)), run_id, "tabular", df, meta, mapping=mapping)
 
 
+#: Readers of vector files by format, and by extension where a manifest names no format.
+VECTOR = {"geojson": read_geojson, "gpkg": read_gpkg, "geopackage": read_gpkg, "shp": read_shapefile, "shapefile": read_shapefile, "esri shapefile": read_shapefile}
+EXTENSIONS = {"geojson": "geojson", "json": "geojson", "geojsonl": "geojson", "gpkg": "gpkg", "zip": "shp"}
+
+
+def read_vector(spark: SparkSession, file: dict) -> DataFrame:
+    """The features of one file of a manifest; ValueError where its format is not known or it holds none."""
+    path = file["path"]
+    said = str(file.get("format") or "").strip().lower()
+    kind = said or EXTENSIONS.get(path.rpartition("/")[2].rpartition(".")[2].lower())
+    if kind not in VECTOR:
+        raise ValueError(f"unknown vector format of {path}: {said or 'none named'}")
+    df = VECTOR[kind](spark, path)
+    if df.isEmpty():
+        raise ValueError(f"no features in {path}")
+    return df
+
+
 def ingest_vector(lake: Lake, manifest: dict, run_id: str, crs: str = "EPSG:4326") -> dict:
     """Vector files of one schema, reprojected and simplified by the intent's recipe, as the next version of their dataset."""
-    df = union_files([read_geojson(lake.spark, f["path"]) for f in manifest["files"]])
+    df = union_files([read_vector(lake.spark, f) for f in manifest["files"]])
     out = run_recipe(df, recipe(manifest["intent"], crs))
     return _spatial(lake, out, dataset_id(manifest), run_id, "spatial", manifest["metadata"])
 

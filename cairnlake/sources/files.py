@@ -53,13 +53,17 @@ _FEATURE = "type string, properties string, geometry string"
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
     """Features of GeoJSON collections (whole files) or of lines of features: properties as typed columns, ``geom`` as WKB last.
 
-    Property types are inferred over all features. Files are read whole: a collection is one JSON value.
+    Property types are inferred over all features. Files are read whole: a collection is one JSON value. ValueError where
+    a collection doesn't parse, or a line or member is no feature.
     """
     text = spark.read.text(path, wholetext=True)
     collection = F.from_json("value", "type string, features array<string>")
-    whole = text.select(F.explode(collection["features"]).alias("feature"))
-    lines = text.where(F.coalesce(collection["type"], F.lit("")) != "FeatureCollection").select(F.explode(F.split("value", "\n")).alias("feature"))
-    features = whole.unionByName(lines.where(F.get_json_object("feature", "$.type") == "Feature"))
+    is_whole = F.coalesce(collection["type"], F.lit("")) == "FeatureCollection"
+    whole = text.where(is_whole).select(F.explode(F.coalesce(collection["features"], F.array(F.lit("")))).alias("feature"))
+    lines = text.where(~is_whole).select(F.explode(F.split("value", "\n")).alias("feature")).where(F.col("feature").rlike(r"\S"))
+    features = whole.unionByName(lines)
+    if odd := features.where(F.coalesce(F.from_json("feature", _FEATURE)["type"], F.lit("")) != "Feature").count():
+        raise ValueError(f"{odd} parts of {path} are no GeoJSON features")
     rows = features.select(F.from_json("feature", _FEATURE).alias("f")).select("f.properties", "f.geometry")
     # the type of every property, widened over all features: whole numbers, numbers, booleans, else text
     cells = rows.select(F.posexplode(F.from_json("properties", "map<string,string>"))).where("value is not null")

@@ -98,3 +98,28 @@ def test_small_helpers(spark):
     assert [r.version for r in c.pending(versions, versions.where("version = 1")).collect()] == [2, 3]
     keys = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "key string, seq long")
     assert [r.key for r in c.last_keys(keys, most=1).collect()] == ["a"]
+
+
+def test_vector_files_go_to_the_reader_of_their_format(spark, tmp_path):
+    from cairnlake.plans.pipelines import Lake, ingest_vector
+
+    lake = Lake(spark, str(tmp_path / "lake"))
+    gpkg(tmp_path / "a.gpkg", [(1, "x", 1, 1, (3, 4)), (2, "y", 2, 0, (5, 6))])
+    gpkg(tmp_path / "none.gpkg", [])
+    point = struct.pack("<i2d", 1, 7, 8)
+    with zipfile.ZipFile(tmp_path / "s.zip", "w") as z:
+        z.writestr("s.shp", shp([point]))
+        z.writestr("s.dbf", b"\x03" + bytes(3) + struct.pack("<IHH", 1, 65, 3) + bytes(20) + b"K".ljust(11, b"\0") + b"C" + bytes(4) + bytes([2, 0]) + bytes(14) + b"\r" + b" ab")
+    feature = '{"type": "Feature", "properties": {"a": 1}, "geometry": {"type": "Point", "coordinates": [1, 2]}}'
+    texts = {"good": feature + "\n\n" + feature + "\n", "cut": feature + "\n" + feature[:40], "collection": '{"type": "FeatureCollection", "features": [' + feature + ", {", "empty": '{"type": "FeatureCollection", "features": []}'}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.geojson").write_text(text)
+
+    def run(name, **more):
+        return ingest_vector(lake, {"intent": "ingest_vector", "files": [{"path": str(tmp_path / name), **more}], "metadata": {"title": "t", "description": "d", "keywords": ["k"], "source": "s", "license": "l", "attribution": "a", "tags": {"dataset_id": "d"}}}, "r")
+
+    assert [run("a.gpkg")["row_count"], run("a.gpkg", format="GPKG")["row_count"], run("s.zip", format="ESRI Shapefile")["row_count"], run("good.geojson", format="GeoJSON")["row_count"]] == [2, 2, 1, 2]
+    for name, more in (("none.gpkg", {}), ("a.gpkg", {"format": "KML"}), ("a.gpkg", {"format": "GeoJSON"}), ("a.kml", {}), ("cut.geojson", {}), ("collection.geojson", {}), ("empty.geojson", {})):
+        with pytest.raises(ValueError):
+            run(name, **more)
+    assert lake.assets.count() == 4
