@@ -11,6 +11,7 @@ a null period; empty inputs give an empty result; other columns of the inputs, o
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,18 +58,18 @@ def direct_orphans(c: Catalog, hot_rows: int | None = None) -> DataFrame:
     return met.withColumn("state", state).where(F.col("state").isNotNull())
 
 
-def orphan_cascade(c: Catalog, most_rounds: int = 64, hot_rows: int | None = None) -> DataFrame:
+def orphan_cascade(c: Catalog, hot_rows: int | None = None) -> DataFrame:
     """Direct and inherited orphans: CASE columns, record_id, ``how`` (direct or inherited) and ``round``.
 
     Inherited rows carry the foreign key that led to them: ref_field is ``parent_table``, ref_id the parent's id. Only
     missing and deleted references make a record an orphan that its children inherit from; a late one was met in the end.
-    ``most_rounds`` bounds the loop against a defect only: a fixpoint ends after as many rounds as the longest chain.
+    The loop ends after as many rounds as the longest chain, as every round adds records that were not known.
     """
     direct = cut_lineage(direct_orphans(c, hot_rows).select(*CASE, "record_id").distinct())
     edges = cut_lineage(c.children.where(F.col("child_id").isNotNull() & F.col("parent_id").isNotNull()).distinct())
     known = direct.where("state <> 'late'").select(F.col("ref_table").alias("table"), F.col("record_id").alias("id")).distinct()
     front, found = known, []
-    for n in range(1, most_rounds + 1):
+    for n in count(1):
         step = edges.join(front.select(F.col("table").alias("parent_table"), F.col("id").alias("parent_id")), ["parent_table", "parent_id"], "left_semi")
         fresh = step.join(known.select(F.col("table").alias("child_table"), F.col("id").alias("child_id")), ["child_table", "child_id"], "left_anti")
         fresh = cut_lineage(fresh.withColumn("round", F.lit(n)))
@@ -77,6 +78,8 @@ def orphan_cascade(c: Catalog, most_rounds: int = 64, hot_rows: int | None = Non
         found.append(fresh)
         front = fresh.select(F.col("child_table").alias("table"), F.col("child_id").alias("id")).distinct()
         known = known.unionByName(front)
+        if n % 16 == 0:  # else the plan grows with every round
+            known = cut_lineage(known)
     out = direct.withColumns({"how": F.lit("direct"), "round": F.lit(0)})
     for fresh in found:
         out = out.unionByName(

@@ -58,3 +58,9 @@ def test_chain(spark):
 
 def test_empty(spark):
     assert orphan_cascade(catalog(spark, [], [])).count() == 0
+
+
+def test_chains_of_any_length(spark):
+    children = [("r", str(i), str(i), "p", "m" if i == 1 else "r", "2" if i == 1 else str(i - 1)) for i in range(1, 68)]
+    c = catalog(spark, [ref("2", "gone")], [], (), children)
+    assert sorted(r.round for r in orphan_cascade(c).collect()) == list(range(68))
