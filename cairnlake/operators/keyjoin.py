@@ -7,19 +7,19 @@ from pyspark.sql import functions as F
 
 from cairnlake.functions.geometry import box, extent, overall_type
 from cairnlake.functions.names import identifier
-from cairnlake.skew import salted_join
+from cairnlake.skew import HOT_ROWS, hot_keys, salted_join
 
 #: Join types and what Spark calls them.
 HOW = {"left": "left", "inner": "inner", "right": "right", "outer": "full"}
 GEOM = "geom"
 
 
-def key_join(tabular: DataFrame, spatial: DataFrame, left_key: str, right_key: str | None = None, how: str = "left", geom: str = GEOM, hot: bool = False) -> DataFrame:
+def key_join(tabular: DataFrame, spatial: DataFrame, left_key: str, right_key: str | None = None, how: str = "left", geom: str = GEOM, hot: bool = False, rows: int = HOT_ROWS) -> DataFrame:
     """All columns of the tabular rows and the geometry of the features whose key is the same as text.
 
     Null keys match nothing; repeated keys multiply; features without a row (right, outer) have null tabular columns; "01"
-    isn't 1. With ``hot``, keys that hold many tabular rows are split over tasks (left and inner joins). Only the key and the
-    geometry of the spatial side are read; Spark broadcasts it where it measures small.
+    isn't 1. With ``hot``, keys that hold more than ``rows`` tabular rows are split over tasks, whatever the join. Only the key
+    and the geometry of the spatial side are read; Spark broadcasts it where it measures small.
     """
     right_key = right_key or left_key
     if how not in HOW:
@@ -32,10 +32,17 @@ def key_join(tabular: DataFrame, spatial: DataFrame, left_key: str, right_key: s
         raise ValueError(f"the tabular dataset has a column {geom!r} already")
     t = tabular.withColumn("__key", tabular[left_key].cast("string"))
     s = spatial.select(spatial[right_key].cast("string").alias("__key"), spatial[geom].alias(geom, metadata={"geometry": True}))
-    if hot and how in ("left", "inner"):
-        met = salted_join(t, s, ["__key"], HOW[how], F.struct(*[t[c] for c in tabular.columns[:3]]))
-        return met.select(*tabular.columns, geom)
-    return t.join(s, t["__key"] == s["__key"], HOW[how]).select(*[t[c] for c in tabular.columns], s[geom])
+    full = hot_keys(t, ["__key"], rows) if hot else None
+    if full is None:
+        return t.join(s, t["__key"] == s["__key"], HOW[how]).select(*[t[c] for c in tabular.columns], s[geom])
+    plain = [c for c, kind in tabular.dtypes if "map<" not in kind]  # maps have no hash
+    spread = F.struct(*[t[c] for c in plain]) if plain else F.monotonically_increasing_id()
+    met = salted_join(t, s, ["__key"], "left" if how in ("left", "outer") else "inner", spread, hot=full).select(*tabular.columns, geom)
+    if how in ("left", "inner"):
+        return met
+    # features without a row: their keys are met with the rows' distinct keys, each once however many rows hold it
+    alone = s.join(t.select("__key").distinct(), "__key", "left_anti")
+    return met.unionByName(alone.select(geom), allowMissingColumns=True)
 
 
 def join_stats(joined: DataFrame, geom: str = GEOM) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnlake.operators.proximity import containing, neighbours, places
+from cairnlake.lineage import cut_lineage
+from cairnlake.operators.proximity import containing, neighbours, one_per_place, places
 from cairnlake.sources.tables import table
 
 METRES = 30.0
@@ -26,5 +27,15 @@ def p2_counts(spark: SparkSession, d: str) -> DataFrame:
     return inside.groupBy(F.col("region").alias("boundary_id")).agg(F.countDistinct("id").alias("features"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_counts": p2_counts}
+def p2_places(spark: SparkSession, d: str) -> DataFrame:
+    """The same neighbours without the pairs of copies: features of exactly one place (``copy``: the least of them, another)
+    and pairs of places at most 30 m apart (``near``), each by its least feature."""
+    points = places(table(spark, d, "joined"), "feature_id", "geom")
+    copies = cut_lineage(one_per_place(points))
+    alone = points.join(copies.where("id = place").select("id"), "id", "left_semi")
+    near = neighbours(alone, METRES).distinct().select(F.lit("near").alias("relation"), "id_a", "id_b")
+    return near.unionByName(copies.where("id <> place").select(F.lit("copy").alias("relation"), F.col("place").alias("id_a"), F.col("id").alias("id_b")))
+
+
+QUERIES = {"p2_found": p2_found, "p2_counts": p2_counts, "p2_places": p2_places}
 SQL: dict[str, str] = {}
