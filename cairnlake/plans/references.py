@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnlake.functions.text import reference
-from cairnlake.operators.orphans import CASE, Catalog, orphan_cascade
+from cairnlake.operators.orphans import CASE, Catalog, cascade_rounds, orphan_cascade
 from cairnlake.sources.tables import table
 
 
@@ -51,8 +51,8 @@ def catalog(spark: SparkSession, d: str) -> Catalog:
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    """Every direct case of the cascade."""
-    return orphan_cascade(catalog(spark, d)).where("how = 'direct'").select(*CASE).distinct()
+    """Every reference that names nothing: the first round of the cascade."""
+    return next(cascade_rounds(catalog(spark, d))).select(*CASE).distinct()
 
 
 def p1_report(spark: SparkSession, d: str) -> DataFrame:
@@ -94,17 +94,19 @@ QUERIES = {"p1_found": p1_found, "p1_report": p1_report}
 SQL = {
     "p1_found": _DIRECT + "SELECT DISTINCT ref_table, ref_key, ref_field, ref_id, state, period FROM direct WHERE state IS NOT NULL",
     "p1_report": _DIRECT
-    + """, seed AS (SELECT DISTINCT ref_table, record_id FROM direct WHERE state IN ('missing', 'deleted')),
+    + """, seed AS (SELECT ref_table, record_id, min(state) AS state FROM direct WHERE state IN ('missing', 'deleted') GROUP BY ALL),
+run_seed AS (SELECT record_id AS run_id, state FROM seed WHERE ref_table = 'runs'),
 runs1 AS (
-  SELECT DISTINCT run_id, dagster_run_id, batch_id, strftime(started_at, '%Y-%m') AS period FROM runs
-  WHERE batch_id IN (SELECT record_id FROM seed WHERE ref_table = 'manifests') AND run_id NOT IN (SELECT record_id FROM seed WHERE ref_table = 'runs')
-), assets1 AS (
-  SELECT DISTINCT asset_id, run_id, strftime(created_at, '%Y-%m') AS period FROM assets
-  WHERE run_id IN (SELECT record_id FROM seed WHERE ref_table = 'runs') OR run_id IN (SELECT run_id FROM runs1)
-), every AS (
+  SELECT DISTINCT run_id, dagster_run_id, batch_id, strftime(started_at, '%Y-%m') AS period, state FROM runs
+  JOIN (SELECT record_id, state FROM seed WHERE ref_table = 'manifests') ON record_id = batch_id WHERE run_id NOT IN (SELECT run_id FROM run_seed)
+), run_state AS (
+  SELECT run_id, state, 0 AS far FROM run_seed UNION ALL SELECT run_id, min(state), 1 FROM runs1 GROUP BY run_id
+), assets0 AS (
+  SELECT DISTINCT asset_id, run_id, strftime(created_at, '%Y-%m') AS period, state, far FROM assets JOIN run_state USING (run_id)
+), assets1 AS (SELECT * FROM assets0 QUALIFY far = min(far) OVER (PARTITION BY asset_id)), every AS (
   SELECT ref_table, ref_key, ref_field, ref_id, state, period, 'direct' AS how FROM (SELECT DISTINCT ref_table, ref_key, ref_field, ref_id, record_id, state, period FROM direct WHERE state IS NOT NULL)
-  UNION ALL SELECT 'runs', dagster_run_id, 'manifests', batch_id, 'missing', period, 'inherited' FROM runs1
-  UNION ALL SELECT 'assets', asset_id, 'runs', run_id, 'missing', period, 'inherited' FROM assets1
+  UNION ALL SELECT 'runs', dagster_run_id, 'manifests', batch_id, state, period, 'inherited' FROM runs1
+  UNION ALL SELECT 'assets', asset_id, 'runs', run_id, state, period, 'inherited' FROM assets1
 )
 SELECT ref_table, ref_field, state, how, period, count(*) AS cases, count(DISTINCT ref_key) AS records FROM every GROUP BY ALL""",
 }

@@ -5,7 +5,7 @@ from datetime import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from cairnlake.operators.orphans import Catalog, direct_orphans, orphan_cascade
+from cairnlake.operators.orphans import Catalog, cascade_rounds, direct_orphans, orphan_cascade
 
 REF = "ref_table string, ref_key string, record_id string, ref_field string, target string, ref_id string, period string, as_of timestamp_ntz"
 T1, T2 = dt(2024, 1, 1), dt(2024, 2, 1)
@@ -61,6 +61,16 @@ def test_empty(spark):
 
 
 def test_chains_of_any_length(spark):
-    children = [("r", str(i), str(i), "p", "m" if i == 1 else "r", "2" if i == 1 else str(i - 1)) for i in range(1, 68)]
-    c = catalog(spark, [ref("2", "gone")], [], (), children)
-    assert sorted(r.round for r in orphan_cascade(c).collect()) == list(range(68))
+    """Seventy generations are found in few rounds, with the state they hang on."""
+    children = [("r", str(i), str(i), "p", "m" if i == 1 else "r", "2" if i == 1 else str(i - 1)) for i in range(1, 71)]
+    c = catalog(spark, [ref("2", "gone")], [], [("a", "gone")], children)
+    rounds = [r.collect() for r in cascade_rounds(c)]
+    assert len(rounds) <= 9 and sorted(r.round for rows in rounds for r in rows) == list(range(71))
+    assert {r.state for rows in rounds for r in rows} == {"deleted"}
+
+
+def test_the_nearest_state_is_inherited(spark):
+    children = [("r", "x", "x", "p", "m", "1"), ("r", "x", "x", "p", "m", "2"), ("s", "y", "y", "p", "r", "x"), ("s", "y", "y", "p", "m", "2")]
+    c = catalog(spark, [ref("1", "gone"), ref("2", "lost")], [], [("a", "gone")], children)
+    rows = {(r.ref_key, r.ref_id, r.state, r.round) for r in orphan_cascade(c).where("how = 'inherited'").collect()}
+    assert rows == {("x", "1", "deleted", 1), ("x", "2", "missing", 1), ("y", "2", "missing", 1)}
