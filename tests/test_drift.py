@@ -5,7 +5,7 @@ from datetime import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from cairnlake.operators.drift import canonical_type, consistent_rows, formats_by_run, last_names, schema_changes, successions, versions
+from cairnlake.operators.drift import ODD, canonical_type, cast_value, consistent_rows, formats_by_run, last_names, records_of, schema_changes, successions, typed_table, versions
 
 COLUMN = "struct<title:string,description:string,type_name:string,logical_type:string,nullable:boolean>"
 ASSET = f"asset_id string, dataset_id string, version int, run_id string, metadata struct<column_schema:map<string,{COLUMN}>>, created_at timestamp"
@@ -86,6 +86,63 @@ def test_files_as_one_table(spark, data):
     assert {k[0] for k in got} == {1, 2, 3}
 
 
+def test_layouts():
+    """Quotes, line breaks within them, JSON lists, what is no record."""
+    assert records_of('a,b\n"x, ""y""\nz",2\n\n3', "CSV") == [[("a", 'x, "y"\nz'), ("b", "2")], [("a", "3")]]
+    assert records_of("a;b\r1;2;3\r", None) == [[("a", "1"), ("b", "2"), (ODD, "3")]]
+    assert records_of("", "CSV") == records_of(" \n", "TSV") == records_of("", "JSONL") == []
+    one = [("a", "1.50"), ("n", "12345678901234567890"), ("b", "true"), ("c", None), ("d", '{"x": [1, "é"]}')]
+    text = '{"a": 1.50, "n": 12345678901234567890, "b": true, "c": null, "d": {"x": [1, "é"]}}'
+    assert records_of(text, "JSON") == records_of(f"[{text}]", "JSONL") == records_of(f"[\n{text}\n]", "JSON") == [one]
+    assert records_of(text + "\nno {\n[1]", "JSONL") == [one, [(ODD, "no {")], [(ODD, "[1]")]]
+    assert records_of("a\n" + "x" * 300_000, "CSV") == [[("a", "x" * 300_000)]]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Australia/Sydney"])
+def test_values(spark, zone):
+    """Numbers of any length, times whatever the session's zone, and what is of no type."""
+    want = [
+        ("INTEGER", "9223372036854775807", "9223372036854775807"), ("INTEGER", "+1000000000000000000", "1000000000000000000"), ("INTEGER", "-0007", "-7"), ("INTEGER", "-00", "0"), ("INTEGER", "9" * 60, "9" * 60),
+        ("INTEGER", "1.0", None), ("FLOAT", "1e5", "1e5"), ("FLOAT", "1.2.3", None), ("BOOLEAN", "TRUE", "true"), ("DATE", "2024-02-30", None), ("DATE", "2024-02-29T10:00:00Z", "2024-02-29"), ("TIMESTAMP", "2024-01-01T00:00:00Z", "2024-01-01T00:00:00Z"),
+        ("TIMESTAMP", "2024-01-01T00:00:00+02:00", "2023-12-31T22:00:00Z"), ("TIMESTAMP", "2024-01-01 05:00:00.25", "2024-01-01T05:00:00.25Z"), ("TIMESTAMP", "2024-01-01", "2024-01-01T00:00:00Z"), ("TIMESTAMP", "8811", None),
+        ("STRING", " 007 ", "007"), ("STRING", "NA", None), ("GEOMETRY", "POINT (1 2)", "POINT (1 2)"),
+    ]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = spark.createDataFrame(want, "kind string, v string, want string").select("kind", "v", "want", cast_value(F.col("v"), F.col("kind")).alias("got")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [tuple(r) for r in got if r.got != r.want] == []
+
+
+def test_columns_of_one_title(spark):
+    """Two columns with one title take that title's labels in order; what is of no type stays beside its cell; a typed table."""
+    a = spark.createDataFrame([asset("d", 1, None, a1=col("Twin", "INTEGER"), a2=col("twin", "TIMESTAMP"))], ASSET)
+    files = spark.createDataFrame([(1, "d", 1, "csv", "TWIN,Twin,Twin\n1,2024-01-01T00:00:00Z,y\nx,2,\n9223372036854775808,,")], "file_id long, dataset_id string, version int, format string, payload string")
+    one = versions(a)
+    rows = consistent_rows(files, one, schema_changes(one, successions(a)), spark.createDataFrame([("csv", "CSV")], "alias string, canonical string"))
+    got = {(r.row_no, r.column_name): (r.value, r.unfit) for r in rows.collect()}
+    assert got == {
+        (0, "a1"): ("1", None), (0, "a2"): ("2024-01-01T00:00:00Z", None), (0, "Twin_1"): ("y", None), (1, "a1"): (None, "x"), (1, "a2"): (None, "2"), (1, "Twin_1"): (None, None),
+        (2, "a1"): ("9223372036854775808", None), (2, "a2"): (None, None), (2, "Twin_1"): (None, None),
+    }
+    wide = typed_table(rows, [("a1", "INTEGER"), ("a2", "TIMESTAMP"), ("Twin_1", "STRING")])
+    assert wide.dtypes[3:] == [("a1", "decimal(38,0)"), ("a2", "timestamp_ntz"), ("Twin_1", "string")]
+    assert [tuple(r)[3:] for r in wide.orderBy("row_no").collect()] == [(1, dt(2024, 1, 1), "y"), (None, None, None), (9223372036854775808, None, None)]
+
+
+@pytest.mark.parametrize("bucket", [1, 3])
+def test_names_across_buckets(spark, bucket):
+    """The next event of a column is found in later buckets too; a name that comes again is another column."""
+    n = 12
+    assets = spark.createDataFrame([asset("d", v, None, **({f"c{v}": col("Title"), "k": col("K")} if v != 7 else {f"c{v}": col("Title")})) for v in range(1, n + 1)], ASSET)
+    one = versions(assets)
+    changes = schema_changes(one, successions(assets))
+    got = {(r.version, r.name): r.last_name for r in last_names(one, changes, bucket).collect()}
+    assert got == {**{(v, f"c{v}"): f"c{n}" for v in range(1, n + 1)}, **{(v, "k"): "k" for v in range(1, n + 1) if v != 7}}
+
+
 def test_empty(spark, data):
     assets, formats, names = data
     none = assets.limit(0)
