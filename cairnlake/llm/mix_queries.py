@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from cairnlake.lineage import cut_lineage
 from cairnlake.llm.bpe import token_counts
 from cairnlake.llm.mixing import mixed, shares
+from cairnlake.skew import broadcast_if_small
 from cairnlake.sources.tables import table
 
 
 def _sized(spark: SparkSession, d: str) -> DataFrame:
     """Documents of known sources with their tokens; the topic is the family of datasets that a document is about."""
-    known = F.broadcast(table(spark, d, "mix_targets").select(F.lower(F.trim("source")).alias("source")))  # one row per source, fixed
+    known, _ = broadcast_if_small(table(spark, d, "mix_targets").select(F.lower(F.trim("source")).alias("source")))
     documents = table(spark, d, "documents").withColumn("source", F.lower(F.trim("source"))).join(known, "source", "left_semi")
     plain = documents.select(
         "doc_id", "source", F.regexp_extract(F.lower(F.trim("lang")), "^[a-z]+", 0).alias("lang"),

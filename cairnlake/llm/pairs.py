@@ -151,8 +151,10 @@ def item_pairs(baskets: DataFrame, least: int = 1) -> DataFrame:
     dictionary, small = broadcast_if_small(items)
     numbered = rows.join(dictionary, "item") if small else salted_join(rows, dictionary, ["item"], "inner", F.col("key"))
     counts = pair_counts(numbered.select("key", F.col("number").alias("item"))).where(F.col("n") >= least)
-    for p in ("a", "b"):
-        counts = counts.join(dictionary.select(F.col("number").alias(f"item_{p}"), F.col("item").alias(f"name_{p}"), F.col("count").alias(f"n_{p}")), f"item_{p}")
+    counts = counts if small else cut_lineage(counts)
+    for p, other in (("a", "b"), ("b", "a")):
+        named = dictionary.select(F.col("number").alias(f"item_{p}"), F.col("item").alias(f"name_{p}"), F.col("count").alias(f"n_{p}"))
+        counts = counts.join(named, f"item_{p}") if small else salted_join(counts, named, [f"item_{p}"], "inner", F.col(f"item_{other}"))
     first = F.col("name_a") < F.col("name_b")
     pick = lambda x, y: F.when(first, F.col(x)).otherwise(F.col(y))
     out = counts.select(

@@ -5,12 +5,13 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cairnlake.llm.pairs import block_gram, item_pairs, notable
-from cairnlake.llm.terms import cardinality, index_blocks, marked, pack, postings, term_counts, union, unpack, vertical_index
+from cairnlake.llm.terms import cardinality, index_blocks, marked, merged, pack, postings, term_counts, union, united, unpack, vertical_index
 
 records = st.lists(st.dictionaries(st.tuples(st.sampled_from("fg"), st.sampled_from("abcde")), st.integers(1, 3), max_size=6), max_size=12)
 
@@ -20,12 +21,15 @@ records = st.lists(st.dictionaries(st.tuples(st.sampled_from("fg"), st.sampled_f
 def test_blocks_of_any_size_give_the_same_counts(rows, block, most, batch):
     flat = [(f"k{i:03}", f, t, n) for i, r in enumerate(rows) for (f, t), n in r.items()]
     batches = [pa.RecordBatch.from_pylist([dict(zip(("key", "field", "term", "n"), x)) for x in flat[i : i + batch]]) for i in range(0, len(flat), batch)]
-    docs, n = Counter(), Counter()
-    for b in index_blocks(iter(batches), 3, block + 1, most):
+    docs, n, parts = Counter(), Counter(), 0
+    laid = sorted((r for b in index_blocks(iter(batches), 3, block + 1, most) for r in b.to_pylist()), key=lambda r: (r["field"], r["term"] or "", r["block"]))
+    laid = [pa.RecordBatch.from_pylist(laid[i : i + batch], pa.schema([("field", pa.string()), ("term", pa.string()), ("block", pa.int64()), ("records", pa.binary()), ("n", pa.int64())])) for i in range(0, len(laid), batch)]
+    for b in united(iter(laid)):
         for r in b.to_pylist():
-            assert cardinality(r["records"]) == r["docs"]
-            docs[r["field"], r["term"]] += r["docs"]
+            docs[r["field"], r["term"]] += cardinality(r["records"])
             n[r["field"], r["term"]] += r["n"]
+            parts += 1
+    assert parts <= len({(f, t) for _, f, t, _ in flat} | {(f, None) for _, f, _, _ in flat}) * (len(rows) // (block + 1) + 1)
     want, total = Counter(), Counter()
     for _, f, t, k in flat:
         want[f, t] += 1
@@ -54,8 +58,9 @@ def frame(spark):
     return spark.createDataFrame(rows, "key string, words array<string>, term string").withColumn("n", F.lit(7))
 
 
-def test_terms_of_dirty_rows(spark):
-    got = term_counts(vertical_index(postings(frame(spark), "key", {"words": F.col("words"), "kind": F.array("term")})))
+@pytest.mark.parametrize("hot_rows", [1, 500_000])
+def test_terms_of_dirty_rows(spark, hot_rows):
+    got = term_counts(vertical_index(postings(frame(spark), "key", {"words": F.col("words"), "kind": F.array("term")}, hot_rows)))
     rows = {(r.field, r.term): (r.occurrences, r.records) for r in got.collect()}
     assert rows == {("words", "heat"): (3, 2), ("words", "open data"): (1, 1), ("words", "z" * 70000): (1, 1), ("words", None): (5, 3), ("kind", "x"): (2, 2), ("kind", "y"): (1, 1), ("kind", None): (3, 3)}
     marks = {(r.field, r.term): r.mark for r in marked(got).collect()}
@@ -63,6 +68,17 @@ def test_terms_of_dirty_rows(spark):
     assert {r.mark for r in marked(got, rare_below=1).where("term = 'heat'").collect()} == {"common"}
 
 
+def test_counts_are_read_from_the_bitmaps(spark):
+    """A record more in a bitmap is a record more in the count, and parts of one block that overlap count once."""
+    index = vertical_index(postings(frame(spark), "key", {"words": F.col("words")})).collect()
+    schema = "field string, term string, block long, records binary, n long"
+    twice = spark.createDataFrame([tuple(r) for r in index] * 2, schema)
+    assert {r.term: r.records for r in term_counts(twice).collect()}["heat"] == 2 and merged(twice).count() == len(index)
+    more = [(r.field, r.term, r.block, union(bytes(r.records), pack(np.array([60_000]))) if r.term == "heat" else r.records, r.n) for r in index]
+    got = {r.term: r.records for r in term_counts(spark.createDataFrame(more, schema)).collect()}
+    assert got["heat"] == 2 + sum(r.term == "heat" for r in index)
+
+
 def test_no_terms(spark):
     assert marked(term_counts(vertical_index(postings(frame(spark).limit(0), "key", {"words": F.col("words")})))).count() == 0
 
