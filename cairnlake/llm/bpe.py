@@ -2,7 +2,8 @@
 
 Method: texts are cut into words by the tokenizer's pattern; the words of a batch not met before are encoded together. Their
 symbols lie in one flat array; each round finds the rank of every neighbouring pair by binary search over the sorted pair
-keys, merges in each word the pairs of its lowest rank, and closes up the array, until no word has a pair left.
+keys, merges in each word the pairs of its lowest rank, and closes up the array, until no word has a pair left. Words are cut
+beforehand where no token can reach across, so a word of megabytes takes no more rounds than its longest such stretch.
 
 Defined results: null, empty and missing texts give an empty list; white space is text like any other; lone surrogates (which no
 table can hold) become question marks; very long texts and words are encoded whole; special tokens are
@@ -32,12 +33,14 @@ _NONE = np.iinfo(np.int64).max
 
 @dataclass
 class Merges:
-    """Sorted pair keys (left << 32 | right) with rank and merged id, and the ids of single bytes."""
+    """Sorted pair keys (left << 32 | right) with rank and merged id, the ids of single bytes, and which bytes stand next to
+    each other within any token."""
 
     keys: np.ndarray
     ranks: np.ndarray
     merged: np.ndarray
     single: np.ndarray
+    inside: np.ndarray
 
 
 def _byte_letters() -> dict[str, int]:
@@ -52,20 +55,30 @@ def load_merges(path: str = VOCABULARY) -> Merges:
     with open(path, encoding="utf-8") as file:
         model = json.load(file)["model"]
     ids: dict[str, int] = model["vocab"]
+    letters = _byte_letters()
     single = np.zeros(256, np.int64)
-    for letter, byte in _byte_letters().items():
+    for letter, byte in letters.items():
         single[byte] = ids[letter]
     pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
     left, right, merged = (np.array([ids[x] for x in column], np.int64) for column in (*zip(*pairs), map("".join, pairs)))
     order = np.argsort(left << 32 | right, kind="stable")
-    return Merges((left << 32 | right)[order], order.astype(np.int64), merged[order], single)
+    inside = np.zeros((256, 256), bool)
+    for a, b in pairs:
+        for x, y in zip(a + b, (a + b)[1:]):
+            inside[letters[x], letters[y]] = True
+    return Merges((left << 32 | right)[order], order.astype(np.int64), merged[order], single, inside)
 
 
 def merge_words(words: list[bytes], m: Merges) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all words in one array, and the offset at which each word starts (and the last ends)."""
     size = np.fromiter(map(len, words), np.int64, len(words))
-    symbols = m.single[np.frombuffer(b"".join(words), np.uint8)]
-    word = np.repeat(np.arange(len(words)), size)
+    raw = np.frombuffer(b"".join(words), np.uint8)
+    symbols, own = m.single[raw], np.repeat(np.arange(len(words)), size)
+    # no token reaches over two bytes that no token holds side by side: what lies between such places is merged by itself,
+    # so a round serves all stretches of a long word at once
+    ends = np.r_[True, (own[1:] != own[:-1]) | ~m.inside[raw[:-1], raw[1:]]] if len(raw) else np.empty(0, bool)
+    word = np.cumsum(ends) - 1
+    first = own[ends]
     finished: list[tuple[np.ndarray, np.ndarray]] = []
     while len(symbols) > 1:
         key = symbols[:-1] << 32 | symbols[1:]
@@ -100,7 +113,7 @@ def merge_words(words: list[bytes], m: Merges) -> tuple[np.ndarray, np.ndarray]:
     finished.append((word, symbols))
     word, symbols = (np.concatenate(x) for x in zip(*finished))
     order = np.argsort(word, kind="stable")
-    return symbols[order].astype(np.int32), np.searchsorted(word[order], np.arange(len(words) + 1))
+    return symbols[order].astype(np.int32), np.searchsorted(first[word[order]], np.arange(len(words) + 1))
 
 
 @dataclass

@@ -27,7 +27,7 @@ def test_any_text(library, encoder, text):
     assert encoder.encode([text]) == [library(text)] and encoder.count([text]) == [len(library(text))]
 
 
-@pytest.mark.parametrize("text", ["", " ", "<|endoftext|> x", "a" * 100_001, "ab" * 5000, "日本語の文" * 2000, "\n\n \t x  y", "0123456789" * 50, "👍🏽 ok"])
+@pytest.mark.parametrize("text", ["", " ", "<|endoftext|> x", "a" * 100_001, "ab" * 5000, "日本語の文" * 2000, "\n\n \t x  y", "0123456789" * 50, "列名在上次交付后被重新命名" * 40_000, "👍🏽 ok"])
 def test_hard_texts(library, encoder, text):
     assert encoder.encode([text, None, text]) == [library(text), [], library(text)]
 
