@@ -76,6 +76,21 @@ def extent(b: Column) -> Column:
     return F.when(F.count(b["minx"]) > 0, F.struct(*sides))
 
 
+def z_order(geom: Column) -> Column:
+    """The place of a geometry's middle along a curve through all longitudes and latitudes, near for what lies together."""
+    b = box(geom)
+
+    def spread(x: Column, least: float, size: float) -> Column:
+        n = F.least(F.greatest(F.floor((x - least) / size * (1 << 31)), F.lit(0)), F.lit((1 << 31) - 1)).cast("long")
+        n = F.when(x.isNotNull(), n)  # least and greatest pass nulls over
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            n = n.bitwiseOR(F.shiftleft(n, shift)).bitwiseAND(F.lit(mask).cast("long"))
+        return n
+
+    x, y = spread((b["minx"] + b["maxx"]) / 2, -180.0, 360.0), spread((b["miny"] + b["maxy"]) / 2, -90.0, 180.0)
+    return x.bitwiseOR(F.shiftleft(y, 1))
+
+
 @F.arrow_udf(T.BinaryType())
 def point(x: pa.Array, y: pa.Array) -> pa.Array:
     """WKB points of coordinates; null where either is null."""

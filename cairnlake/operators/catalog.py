@@ -108,20 +108,48 @@ def content_exists(assets: DataFrame, content_hash: str) -> bool:
 # --- lineage ------------------------------------------------------------------------------------------------------
 
 
+#: Seconds of one bucket in the search for the version that was there at a time.
+BUCKET = 3_600
+
+
+def versions_at(wanted: DataFrame, have: DataFrame, keys: list[str], at: str, of: str = "created_at", bucket: int = BUCKET) -> DataFrame:
+    """``wanted`` with ``it``: the greatest (version, source_asset_id) among the rows of ``have`` with the same keys whose time
+    ``of`` isn't after ``at``; null where there are none.
+
+    An as-of join: both are laid along time and the maximum so far is carried on, within buckets of time and from bucket to
+    bucket, so the work is that of the rows and no task holds all versions of a dataset.
+    """
+    second = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp")) / (bucket * 1_000_000))
+    none = F.lit(None).cast("struct<version:int,source_asset_id:string>")
+    rest = [c for c in wanted.columns if c not in keys]
+    left = have.where(F.col(of).isNotNull()).select(*keys, F.col(of).alias("__at"), F.lit(0).alias("__kind"), F.struct(F.col("version").cast("int").alias("version"), "source_asset_id").alias("__it"), F.lit(None).cast(wanted.select(F.struct(*rest)).schema[0].dataType).alias("__row"))
+    right = wanted.select(*keys, F.col(at).alias("__at"), F.lit(1).alias("__kind"), none.alias("__it"), F.struct(*rest).alias("__row"))
+    line = left.unionByName(right).withColumn("__bucket", second("__at"))
+    within = Window.partitionBy(*keys, "__bucket").orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = line.groupBy(*keys, "__bucket").agg(F.max("__it").alias("__most")).withColumn("__carried", F.max("__most").over(before)).drop("__most")
+    met = line.withColumn("__near", F.max("__it").over(within)).where("__kind = 1")
+    met = met.join(carried, [*keys, "__bucket"], "left")
+    return met.select(*keys, "__row.*", F.greatest("__near", "__carried").alias("it"))
+
+
 def lineage_edges(assets: DataFrame, runs: DataFrame, manifests: DataFrame) -> DataFrame:
     """source_asset_id, target_asset_id, transformation, role: joined assets to the assets that their manifest names.
 
-    Pinned versions by number, others by the last version that was there when the manifest came.
+    Pinned versions by number (an equi-join), others by the last version that was there when the manifest came (as-of).
     """
     joined = assets.where("kind = 'joined'").select("asset_id", "run_id").distinct()
     config = manifests.where("metadata.join_config is not null").select("batch_id", "ingested_at", "metadata.join_config.*").dropDuplicates(["batch_id"])
     named = joined.join(runs.select("run_id", "batch_id").distinct(), "run_id").join(config, "batch_id")
     sides = F.array(*[F.struct(F.lit(k).alias("role"), F.lower(F.trim(f"{k}_dataset_id")).alias("dataset_id"), F.col(f"{k}_version").alias("pinned")) for k in ("spatial", "tabular")])
-    wanted = named.select(F.col("asset_id").alias("target_asset_id"), "ingested_at", F.inline(sides))
+    wanted = named.select(F.col("asset_id").alias("target_asset_id"), "ingested_at", F.inline(sides)).where("dataset_id is not null")
     have = assets.select(F.col("asset_id").alias("source_asset_id"), "dataset_id", "version", F.col("kind").alias("role"), "created_at")
-    met = wanted.join(have, ["dataset_id", "role"]).where("pinned = version or (pinned is null and created_at <= ingested_at)")
-    best = met.groupBy("target_asset_id", "role").agg(F.max_by("source_asset_id", F.struct("version", "source_asset_id")).alias("source_asset_id"))
-    return best.select("source_asset_id", "target_asset_id", F.lit("spatial_join").alias("transformation"), "role")
+    pinned = wanted.where("pinned is not null").select("target_asset_id", "dataset_id", "role", F.col("pinned").alias("version"))
+    by_number = pinned.join(have.select("dataset_id", "role", "version", "source_asset_id").distinct(), ["dataset_id", "role", "version"])
+    by_time = versions_at(wanted.where("pinned is null and ingested_at is not null").select("dataset_id", "role", "target_asset_id", "ingested_at"), have, ["dataset_id", "role"], "ingested_at")
+    met = by_number.select("target_asset_id", "role", F.struct(F.col("version").cast("int").alias("version"), "source_asset_id").alias("it")).unionByName(by_time.where("it is not null").select("target_asset_id", "role", "it"))
+    best = met.groupBy("target_asset_id", "role").agg(F.max("it").alias("it"))
+    return best.select("it.source_asset_id", "target_asset_id", F.lit("spatial_join").alias("transformation"), "role")
 
 
 def parents(edges: DataFrame, assets: DataFrame, of: DataFrame | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnlake.functions.geometry import simplify, transform, with_geometry
+from cairnlake.functions.geometry import simplify, transform, with_geometry, z_order
 from cairnlake.functions.types import column_schema
 from cairnlake.operators import catalog
 from cairnlake.operators.keyjoin import join_stats, key_join
@@ -31,9 +31,16 @@ def simplified(tolerance: float, geom: str = "geom") -> Step:
     return lambda df: with_geometry(df, geom, simplify(F.col(geom), tolerance))
 
 
-def clustered(geom: str = "geom") -> Step:
-    """In place of an index: files hold what lies together, so readers can skip row groups. Left to the writer's partitions."""
-    return lambda df: df
+def clustered(geom: str = "geom", files: int | None = None) -> Step:
+    """In place of an index: rows sorted along a curve through the middles of their extents, so what lies together is
+    together in files and row groups, and readers can skip those whose statistics lie elsewhere. Null extents come last."""
+
+    def step(df: DataFrame) -> DataFrame:
+        along = df.withColumn("__along", z_order(F.col(geom)))
+        spread = along.repartitionByRange(files, "__along") if files else along.repartitionByRange("__along")
+        return spread.sortWithinPartitions(F.col("__along").asc_nulls_last()).drop("__along")
+
+    return step
 
 
 #: Recipes by intent; others take the first. Tolerances in degrees.
@@ -152,7 +159,7 @@ def join_datasets(lake: Lake, manifest: dict, run_id: str) -> dict:
         inputs[kind] = row
     frames = {k: lake.spark.read.parquet(f"{lake.root}/{r.s3_key}") for k, r in inputs.items()}
     how, left, right = config.get("how") or "left", config["left_key"], config.get("right_key") or config["left_key"]
-    joined = key_join(frames["tabular"], frames["spatial"], left, right, how)
+    joined = key_join(frames["tabular"], frames["spatial"], left, right, how, hot=True)
     geo = sink.footer_of(f"{lake.root}/{inputs['spatial'].s3_key}")
     if wrong := sink.footer_faults(geo, joined.columns):
         raise ValueError("; ".join(wrong))

@@ -1,13 +1,15 @@
 """Versions of datasets in the lake: written once, never changed, with a GeoParquet footer and a content hash.
 
-A version is the folder {dataset}/v{n}/data.parquet. It is written beside its place and renamed there, so it appears whole or
-not at all; a rename onto a folder that another writer has made fails, and the next number is tried.
+A version is the folder {dataset}/v{n}/data.parquet. Its number is claimed by making the file {dataset}/.claims/v{n}, which
+only one writer can; the version is written beside its place and renamed there by the one who has the number. A writer that
+dies leaves a gap in the numbers and no version.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -77,12 +79,26 @@ def with_footer(df: DataFrame, path: str, geo: dict) -> None:
 
 
 def content_hash(spark: SparkSession, path: str) -> str:
-    """sha256:<hex> over the bytes of the data files in order of name; each file is hashed where it is read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    each = files.select("path", F.sha2("content", 256).alias("h")).orderBy("path").collect()  # a row per file
-    if len(each) == 1:
-        return "sha256:" + each[0].h
-    return "sha256:" + hashlib.sha256("".join(r.h for r in each).encode()).hexdigest()
+    """sha256:<hex> over the bytes of the data file, or over the hashes of several in order of name; each is read in pieces
+    where it is hashed."""
+    fs, base = pa.fs.FileSystem.from_uri(path)
+    names = sorted(f.base_name for f in fs.get_file_info(pa.fs.FileSelector(base)) if f.base_name.endswith(".parquet"))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, root = pa.fs.FileSystem.from_uri(path)
+        for b in batches:
+            out = []
+            for n in b.column("name").to_pylist():
+                h = hashlib.sha256()
+                with own.open_input_stream(f"{root}/{n}") as stream:
+                    while block := stream.read(8 << 20):
+                        h.update(block)
+                out.append(h.hexdigest())
+            yield pa.record_batch([b.column("name"), pa.array(out, pa.string())], ["name", "h"])
+
+    files = spark.createDataFrame([(n,) for n in names], "name string").repartition(max(1, min(len(names), spark.sparkContext.defaultParallelism)))
+    each = [r.h for r in sorted(files.mapInArrow(hashed, "name string, h string").collect(), key=lambda r: r.name)]  # a row per file
+    return "sha256:" + (each[0] if len(each) == 1 else hashlib.sha256("".join(each).encode()).hexdigest())
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
@@ -93,31 +109,59 @@ def fingerprint(df: DataFrame) -> DataFrame:
     return h.agg(F.count(F.lit(1)).alias("rows"), half(1).alias("a"), half(16).alias("b")).select("rows", F.sha2(F.concat_ws("|", "rows", "a", "b"), 256).alias("fingerprint"))
 
 
-def write_version(df: DataFrame, lake: str, dataset: str, geo: dict | None = None, files: int | None = None, tries: int = 20) -> dict:
-    """Write the next version of a dataset: {dataset_id, version, s3_key, content_hash, path}.
+def make_once(spark: SparkSession, path: str) -> bool:
+    """Make an empty file; False where it is there already. Of several writers at once exactly one gets True.
 
-    The number is one more than the highest folder's; the rename that fails when another writer came first is the lock.
+    On a local disk the system's exclusive open decides, elsewhere the file system's create without overwriting (HDFS) or
+    conditional put (object stores that offer it).
     """
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p.getParent())
+    if fs.getUri().getScheme() == "file":
+        try:
+            os.close(os.open(p.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+        except FileExistsError:
+            return False
+        return True
+    try:
+        fs.createFile(p).overwrite(False).opt("fs.option.create.conditional.overwrite", True).build().close()
+    except Exception as e:
+        if fs.exists(p):
+            return False
+        raise e
+    return True
+
+
+def _numbers(spark: SparkSession, folder: str) -> list[int]:
+    fs, p = _fs(spark, folder)
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return [int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit()]
+
+
+def claim_version(spark: SparkSession, lake: str, dataset: str) -> int:
+    """The next version number of a dataset, which no other writer has or gets."""
+    home = f"{lake}/{dataset}"
+    n = max([*_numbers(spark, home), *_numbers(spark, f"{home}/.claims")], default=0)
+    while True:
+        n += 1
+        if make_once(spark, f"{home}/.claims/v{n}"):
+            return n
+
+
+def write_version(df: DataFrame, lake: str, dataset: str, geo: dict | None = None, files: int | None = None) -> dict:
+    """Write the next version of a dataset: {dataset_id, version, s3_key, content_hash, path}."""
     spark = df.sparkSession
     dataset = dataset.strip()
     staging = f"{lake}/.staging/{uuid.uuid4().hex}"
     out = df.coalesce(files) if files else df
     with_footer(out, staging, geo) if geo else out.write.parquet(staging)
-    fs, root = _fs(spark, f"{lake}/{dataset}")
-    fs.mkdirs(root)
-    have = [s.getPath().getName() for s in fs.listStatus(root)]
-    n = max([int(h[1:]) for h in have if h[:1] == "v" and h[1:].isdigit()], default=0)
-    for _ in range(tries):
-        n += 1
-        # mkdir of a marker is atomic: it fails for all but one writer
-        _, home = _fs(spark, f"{lake}/{dataset}/v{n}")
-        if not fs.exists(home):
-            fs.mkdirs(home)
-            _, to = _fs(spark, f"{lake}/{dataset}/v{n}/data.parquet")
-            if fs.rename(_fs(spark, staging)[1], to):
-                path = f"{lake}/{dataset}/v{n}/data.parquet"
-                return {"dataset_id": dataset, "version": n, "s3_key": f"{dataset}/v{n}/data.parquet", "content_hash": content_hash(spark, path), "path": path}
-    raise RuntimeError(f"no version of {dataset} could be written in {tries} tries")
+    n = claim_version(spark, lake, dataset)
+    key = f"{dataset}/v{n}/data.parquet"
+    fs, home = _fs(spark, f"{lake}/{dataset}/v{n}")
+    fs.mkdirs(home)
+    if not fs.rename(_fs(spark, staging)[1], _fs(spark, f"{lake}/{key}")[1]):
+        raise RuntimeError(f"{key} couldn't be put in its place")
+    return {"dataset_id": dataset, "version": n, "s3_key": key, "content_hash": content_hash(spark, f"{lake}/{key}"), "path": f"{lake}/{key}"}
 
 
 def put_if_absent(df: DataFrame, path: str) -> None:
@@ -143,11 +187,50 @@ def move(spark: SparkSession, source: str, target: str) -> bool:
 PROTECTED = ("archive/", "manifests/")
 
 
+def _landing(root: str, key: str) -> str:
+    """A place under the landing zone; ValueError for what lies outside or is protected."""
+    key = key.strip("/")
+    if not key or any(part in ("", ".", "..") for part in key.split("/")):
+        raise ValueError(f"no key: {key!r}")
+    if f"{key}/".startswith(PROTECTED):
+        raise ValueError(f"{key} is protected")
+    return f"{root}/{key}"
+
+
+def put_file(spark: SparkSession, root: str, key: str, content: bytes, overwrite: bool = False) -> bool:
+    """Upload a file; False where one is there already."""
+    fs, p = _fs(spark, _landing(root, key))
+    if fs.exists(p) and not overwrite:
+        return False
+    out = fs.create(p, overwrite)
+    out.write(bytearray(content))
+    out.close()
+    return True
+
+
+def get_file(spark: SparkSession, root: str, key: str) -> bytes:
+    """Download a file; FileNotFoundError where there is none."""
+    rows = spark.read.format("binaryFile").load(f"{root}/{key}").select("content").take(1) if _fs(spark, f"{root}/{key}")[0].exists(_fs(spark, f"{root}/{key}")[1]) else []
+    if not rows:
+        raise FileNotFoundError(key)
+    return bytes(rows[0].content)
+
+
+def create_folder(spark: SparkSession, root: str, folder: str) -> bool:
+    """Make a folder; False where it is there already."""
+    fs, p = _fs(spark, _landing(root, folder))
+    return not fs.exists(p) and bool(fs.mkdirs(p))
+
+
+def delete_file(spark: SparkSession, root: str, key: str) -> bool:
+    """Remove a file that isn't protected; False where there is none."""
+    fs, p = _fs(spark, _landing(root, key))
+    return bool(fs.exists(p) and not fs.getFileStatus(p).isDirectory() and fs.delete(p, False))
+
+
 def delete_folder(spark: SparkSession, root: str, folder: str) -> bool:
     """Remove an empty folder that isn't protected."""
-    if folder.rstrip("/") + "/" in PROTECTED:
-        raise ValueError(f"{folder} is protected")
-    fs, p = _fs(spark, f"{root}/{folder}")
+    fs, p = _fs(spark, _landing(root, folder))
     return bool(fs.exists(p) and not len(fs.listStatus(p)) and fs.delete(p, False))
 
 
@@ -155,4 +238,4 @@ def footer_of(path: str) -> dict | None:
     """The geo footer of a dataset's first file."""
     fs, base = pa.fs.FileSystem.from_uri(path)
     files = sorted(f.path for f in fs.get_file_info(pa.fs.FileSelector(base)) if f.path.endswith(".parquet"))
-    return geo_footer(files[0]) if files else None
+    return geo_footer(files[0], fs) if files else None

@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.fs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,28 +19,59 @@ from cairnlake.functions.types import six_words
 from cairnlake.operators.manifests import parse
 
 
+#: What is no value in a column of numbers, dates, times or booleans.
+NULLS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "N/A", "NA", "NULL", "NaN", "n/a", "nan", "null")
+_KINDS = (
+    ("bigint", r"[+-]?[0-9]+"), ("boolean", r"(?i)true|false"), ("date", r"\d{4}-\d{2}-\d{2}"),
+    ("timestamp_ntz", r"\d{4}-\d{2}-\d{2}[ T]\d{2}(:\d{2}){1,2}(\.\d+)?"), ("timestamp", r"\d{4}-\d{2}-\d{2}[ T]\d{2}(:\d{2}){1,2}(\.\d+)?(Z|[+-]\d{2}(:?\d{2})?)"),
+    ("double", r"(?i)[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([e][+-]?[0-9]+)?|[+-]?inf(inity)?"),
+)
+
+
+def infer(text: DataFrame, keep: set[str] = frozenset()) -> DataFrame:
+    """Text columns as the first type that all their values have, in one pass: whole numbers, booleans, dates, times, numbers,
+    else text. NULLS are null in all but text columns, where they stay as they are written; columns without values and those
+    to ``keep`` are text."""
+    cell = {c: F.trim(F.col(f"`{c}`")) for c in text.columns}
+    there = {c: cell[c].isNotNull() & ~cell[c].isin(*NULLS) for c in cell}
+    fits = lambda c, kind, pattern: cell[c].rlike(f"^({pattern})$") & cell[c].try_cast(kind).isNotNull()
+    asked = [c for c in text.columns if c not in keep]
+    if not asked:
+        return text
+    said = text.agg(*[F.struct(*[F.bool_and(F.when(there[c], fits(c, k, p))).alias(k) for k, p in _KINDS]).alias(str(i)) for i, c in enumerate(asked)]).first()
+    kinds = {c: next((k for k, _ in _KINDS if said[i][k]), "string") for i, c in enumerate(asked)}
+    empty = {c for i, c in enumerate(asked) if said[i]["bigint"] is None}
+    return text.select(*[
+        F.col(f"`{c}`") if c in keep else F.lit(None).cast("string").alias(c) if c in empty
+        else F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if kinds[c] == "string" else F.when(there[c], cell[c].try_cast(kinds[c])).alias(c)
+        for c in text.columns
+    ])
+
+
 def read_csv(spark: SparkSession, path: str, join_key: str | None = None, **options) -> tuple[DataFrame, dict[str, str]]:
     """A comma-separated file with header under normalized names, and the mapping of headers to names.
 
-    Types are inferred; NA and empty cells are null. The join key, named as in the header or normalized, is read as text
-    (so leading zeros stay) and stripped; ValueError where there is none of that name.
+    Types are inferred over all rows (``infer``). The join key, named as in the header or normalized, is read as text (so
+    leading zeros stay) and stripped; ValueError where there is none of that name, or where a row has more or fewer cells
+    than the header. Repeated headers get names of their own.
     """
-    how = {"header": True, "mode": "PERMISSIVE", "nullValue": "", "nanValue": "NaN", "multiLine": True, "escape": '"', "enforceSchema": False} | options
-    first = spark.read.options(**how | {"inferSchema": False}).csv(path)
-    mapping, names = headers.normalize(first.columns)
-    inferred = spark.read.options(**how | {"inferSchema": True}).csv(path)
-    if len(set(first.columns)) < len(first.columns) or len(inferred.columns) != len(names):
-        raise ValueError("the header and the rows don't fit together")
+    how = {"mode": "PERMISSIVE", "multiLine": True, "escape": '"', "enforceSchema": False, "inferSchema": False} | options
+    top = spark.read.options(**how | {"header": False}).csv(path).first()
+    if top is None:
+        raise ValueError(f"{path} is empty")
+    mapping, names = headers.normalize([h or "" for h in top])
     key = None
     if join_key is not None:
         key = mapping.get(join_key, join_key)
         if key not in names:
             raise ValueError(f"no column {join_key!r} in the file")
-    fields = [T.StructField(f.name, T.StringType() if n == key else f.dataType) for f, n in zip(inferred.schema.fields, names)]
-    typed = spark.read.options(**how).schema(T.StructType(fields)).csv(path).toDF(*names)
-    for f in typed.schema.fields:  # what only says NA has no type
-        if isinstance(f.dataType, T.StringType) and f.name != key:
-            typed = typed.withColumn(f.name, F.nullif(f.name, F.lit("NA")))
+    bad = "__bad"
+    fields = T.StructType([T.StructField(n, T.StringType()) for n in [*names, bad]])
+    rows = spark.read.options(**how | {"header": True, "columnNameOfCorruptRecord": bad, "enforceSchema": True}).schema(fields).csv(path)
+    # the length, as a plain test for null would be pushed into the scan, where the column isn't filled yet
+    if odd := rows.where(F.length(bad) >= 0).select(*names, bad).limit(1).collect():
+        raise ValueError(f"the header and the rows don't fit together: {odd[0][bad][:100]}")
+    typed = infer(rows.drop(bad), {key} - {None})
     return (typed.withColumn(key, strip(F.col(key))) if key else typed), mapping
 
 
@@ -65,16 +98,15 @@ def read_geojson(spark: SparkSession, path: str) -> DataFrame:
     if odd := features.where(F.coalesce(F.from_json("feature", _FEATURE)["type"], F.lit("")) != "Feature").count():
         raise ValueError(f"{odd} parts of {path} are no GeoJSON features")
     rows = features.select(F.from_json("feature", _FEATURE).alias("f")).select("f.properties", "f.geometry")
-    # the type of every property, widened over all features: whole numbers, numbers, booleans, else text
-    cells = rows.select(F.posexplode(F.from_json("properties", "map<string,string>"))).where("value is not null")
-    whole_number, number = F.col("value").rlike(r"^-?[0-9]{1,18}$"), F.col("value").rlike(r"^-?[0-9.]+([eE][+-]?[0-9]+)?$")
-    kind = F.when(whole_number, 1).when(number, 2).when(F.col("value").isin("true", "false"), 3).otherwise(4)
+    # the type of every property, widened over all features, by what the JSON says: whole numbers, numbers, booleans, else text
+    p = F.from_json("properties", "map<string,variant>")
+    cells = rows.select(F.posexplode(p)).select("pos", "key", F.schema_of_variant("value").alias("said")).where("said <> 'VOID'")
+    kind = F.when(F.col("said") == "BIGINT", 1).when(F.col("said").rlike(r"^DECIMAL\(\d+,0\)$"), 2).when(F.col("said").rlike("^(DECIMAL|DOUBLE|FLOAT)"), 3).when(F.col("said") == "BOOLEAN", 4).otherwise(5)
     seen = cells.groupBy("key").agg(F.min("pos").alias("pos"), F.collect_set(kind).alias("kinds")).collect()  # a row per property
-    named = {1: "bigint", 2: "double", 3: "boolean", 4: "string"}
-    types = {r.key: named[max(r.kinds) if set(r.kinds) <= {1, 2} or len(r.kinds) == 1 else 4] for r in sorted(seen, key=lambda r: (r.pos, r.key))}
-    p = F.from_json("properties", "map<string,string>")
+    named = {1: "bigint", 2: "decimal(38,0)", 3: "double", 4: "boolean", 5: "string"}
+    types = {r.key: named[max(r.kinds) if set(r.kinds) <= {1, 2, 3} or len(r.kinds) == 1 else 5] for r in sorted(seen, key=lambda r: (r.pos, r.key))}
     out = rows.select(p.alias("p"), from_geojson("geometry").alias("geom"))
-    return out.select(*[F.try_element_at("p", F.lit(n)).try_cast(t).alias(n) for n, t in types.items()], F.col("geom").alias("geom", metadata={"geometry": True}))
+    return out.select(*[F.try_variant_get(F.try_element_at("p", F.lit(n)), "$", t).alias(n) for n, t in types.items()], F.col("geom").alias("geom", metadata={"geometry": True}))
 
 
 def vector_schema(df: DataFrame, geom: str = "geom") -> dict:
@@ -121,9 +153,9 @@ def union_files(frames: list[DataFrame], check: bool = True) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def geo_footer(path: str) -> dict | None:
+def geo_footer(path: str, fs: pa.fs.FileSystem | None = None) -> dict | None:
     """The geo metadata in a Parquet file's footer."""
-    raw = (pq.read_schema(path).metadata or {}).get(b"geo")
+    raw = (pq.read_schema(path, filesystem=fs).metadata or {}).get(b"geo")
     try:
         return None if raw is None else json.loads(raw)
     except ValueError:

@@ -1,6 +1,8 @@
 """Catalog queries, names, manifests and their rules."""
 
 import json
+import random
+from datetime import datetime, timedelta
 from datetime import datetime as dt
 
 import pytest
@@ -145,3 +147,15 @@ def test_requests(spark):
 def test_form(spark):
     df = spark.createDataFrame([(" t ", "", "a, ,b", "3", "x", "", "k", "")], "title string, project string, keywords string, spatial_version string, tabular_version string, how string, left_key string, right_key string")
     assert m.form_to_manifest(df).first().asDict() == {"title": "t", "project": None, "keywords": ["a", "b"], "spatial_version": 3, "tabular_version": None, "how": "left", "left_key": "k", "right_key": "k"}
+
+
+@pytest.mark.parametrize("bucket", [1, 50, 10**9])
+def test_version_at_a_time(spark, bucket):
+    """The greatest version that was there at a time, over buckets of any length, against brute force."""
+    rnd = random.Random(3)
+    times = [datetime(2024, 1, 1) + timedelta(seconds=rnd.randrange(600)) for _ in range(60)]
+    have = [(f"d{rnd.randrange(2)}", rnd.randrange(1, 40), f"a{i}", t) for i, t in enumerate(times)] + [("d0", 99, "never", None)]
+    wanted = [(f"d{rnd.randrange(3)}", i, datetime(2024, 1, 1) + timedelta(seconds=rnd.randrange(-5, 620))) for i in range(40)] + [("d0", 40, times[0])]
+    df = c.versions_at(spark.createDataFrame(wanted, "k string, i int, at timestamp_ntz"), spark.createDataFrame(have, "k string, version int, source_asset_id string, created_at timestamp_ntz"), ["k"], "at", bucket=bucket)
+    got = {r.i: tuple(r.it) if r.it else None for r in df.collect()}
+    assert got == {i: max(((v, a) for k, v, a, t in have if k == key and t is not None and t <= at), default=None) for key, i, at in wanted}

@@ -1,13 +1,16 @@
 """Files to lake to join, and manifests as a stream."""
 
+import hashlib
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime as dt
 
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from cairnlake.plans.pipelines import Lake, ingest_tabular, ingest_vector, join_datasets, recipe, run_recipe
+from cairnlake.functions.geometry import box, point, z_order
+from cairnlake.plans.pipelines import Lake, clustered, ingest_tabular, ingest_vector, join_datasets, recipe, run_recipe
 from cairnlake.sinks import lake as sink
 from cairnlake.sources import files
 from cairnlake.streaming import manifests as stream
@@ -36,6 +39,78 @@ def test_csv(spark, landing):
         files.read_csv(spark, str(landing / "a.csv"), "nope")
 
 
+def test_csv_types(spark, tmp_path):
+    """NA is no value among numbers and a value among texts; types are those of all rows."""
+    (tmp_path / "t.csv").write_text('id,iso,n,d,t,b,x,z,q\n1,NA,5,2024-01-31,2024-01-31T10:00:00,true,1,2024-01-31 10:00:00Z,"a ""b""\nc"\n2,AU,NA,,nan,FALSE,2.5,2024-01-31T10:00:00+02:00,\n3,NZ,7,2024-02-01,2024-02-01 11:00,null,1e3,,007\n', encoding="utf-8")
+    df, _ = files.read_csv(spark, str(tmp_path / "t.csv"))
+    assert [t for _, t in df.dtypes] == ["bigint", "string", "bigint", "date", "timestamp_ntz", "boolean", "double", "timestamp", "string"]
+    rows = [tuple(r) for r in df.select("id", "iso", "n", "b", "x", "q").collect()]
+    assert rows == [(1, "NA", 5, True, 1.0, 'a "b"\nc'), (2, "AU", None, False, 2.5, ""), (3, "NZ", 7, None, 1000.0, "007")]
+    big = tmp_path / "big.csv"
+    big.write_text("a,b\n9223372036854775807,9223372036854775808\n01,1\n")
+    df, _ = files.read_csv(spark, str(big), "a")
+    assert df.dtypes == [("a", "string"), ("b", "double")] and [r.a for r in df.collect()] == ["9223372036854775807", "01"]
+    for text in ("a,a\n1,2\n", "a,A\n1,2\n", "a,b\n1\n", "a,b\n1,2,3\n"):
+        big.write_text(text)
+        with pytest.raises(ValueError):
+            files.read_csv(spark, str(big))
+    big.write_text("a,b\n")
+    assert files.read_csv(spark, str(big))[0].count() == 0
+
+
+def test_geojson_types(spark, tmp_path):
+    """Types are those of the JSON, whatever the texts look like."""
+    props = [{"code": "0123", "v": "1.2.3", "n": 1234567890123456789, "h": 12345678901234567890123, "m": 1, "s": 1, "b": True, "o": {"k": [1]}, "e": None}, {"code": "7", "v": "2", "n": 3, "h": 1, "m": 2.5, "s": "1", "b": None, "o": [2]}]
+    (tmp_path / "p.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": [{"type": "Feature", "properties": p, "geometry": None} for p in props]}))
+    df = files.read_geojson(spark, str(tmp_path / "p.geojson"))
+    assert df.drop("geom").dtypes == [("code", "string"), ("v", "string"), ("n", "bigint"), ("h", "decimal(38,0)"), ("m", "double"), ("s", "string"), ("b", "boolean"), ("o", "string")]
+    rows = [tuple(r) for r in df.drop("geom").collect()]
+    assert rows == [("0123", "1.2.3", 1234567890123456789, 12345678901234567890123, 1.0, "1", True, '{"k":[1]}'), ("7", "2", 3, 1, 2.5, "1", None, "[2]")]
+
+
+def test_versions_of_writers_at_once(spark, tmp_path):
+    """Several writers of one dataset get different numbers and never mix their rows."""
+    with ThreadPoolExecutor(8) as pool:
+        assert sum(pool.map(lambda _: sink.make_once(spark, str(tmp_path / "lock" / "x")), range(8))) == 1
+        got = list(pool.map(lambda i: sink.write_version(spark.range(i + 1), str(tmp_path / "lake"), "d"), range(4)))
+    assert sorted(g["version"] for g in got) == [1, 2, 3, 4]
+    assert sorted(spark.read.parquet(g["path"]).count() for g in got) == [1, 2, 3, 4]
+    assert sink.write_version(spark.range(1), str(tmp_path / "lake"), "d")["version"] == 5
+
+
+def test_hash_of_one_file_is_that_of_its_bytes(spark, tmp_path):
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "a"))
+    (part,) = (tmp_path / "a").glob("*.parquet")
+    assert sink.content_hash(spark, str(tmp_path / "a")) == "sha256:" + hashlib.sha256(part.read_bytes()).hexdigest()
+
+
+def test_landing_zone(spark, tmp_path):
+    root = str(tmp_path)
+    assert sink.create_folder(spark, root, "batch_1") and not sink.create_folder(spark, root, "batch_1")
+    assert sink.put_file(spark, root, "batch_1/a.csv", b"a\n1") and not sink.put_file(spark, root, "batch_1/a.csv", b"b") and sink.get_file(spark, root, "batch_1/a.csv") == b"a\n1"
+    assert sink.put_file(spark, root, "batch_1/a.csv", b"b", overwrite=True) and sink.get_file(spark, root, "batch_1/a.csv") == b"b"
+    assert not sink.delete_folder(spark, root, "batch_1") and sink.delete_file(spark, root, "batch_1/a.csv") and not sink.delete_file(spark, root, "batch_1/a.csv")
+    for key in ("manifests/a.json", "archive/x", "../x", "", "a//b"):
+        with pytest.raises(ValueError):
+            sink.put_file(spark, root, key, b"")
+    with pytest.raises(FileNotFoundError):
+        sink.get_file(spark, root, "nope")
+
+
+def test_rows_that_lie_together_are_together(spark):
+    rows = [(i, float(x), float(y)) for i, (x, y) in enumerate((x, y) for x in range(-160, 170, 40) for y in range(-80, 90, 20))]
+    df = spark.createDataFrame([*rows, (999, None, None)], "id int, x double, y double").select("id", point(F.col("x"), F.col("y")).alias("geom"))
+    assert df.select(z_order(F.col("geom")).alias("z")).where("z is not null").distinct().count() == len(rows)
+
+    def spread(d):
+        each = d.where("id < 999").withColumn("p", F.spark_partition_id()).withColumn("b", box("geom")).groupBy("p").agg((F.max("b.maxx") - F.min("b.minx")).alias("w"), (F.max("b.maxy") - F.min("b.miny")).alias("h")).collect()
+        return len(each), sum(r.w * r.h for r in each)
+
+    parts, area = spread(clustered(files=4)(df.repartition(3)))
+    assert parts == 4 and area < 0.6 * spread(df.repartition(4))[1]
+
+
+
 def test_geojson(spark, landing):
     one, two = (files.read_geojson(spark, str(landing / f"{k}.geojson")) for k in ("one", "two"))
     assert one.dtypes == [("Parcel", "string"), ("n", "double"), ("geom", "binary")]
