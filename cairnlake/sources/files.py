@@ -68,8 +68,8 @@ def read_csv(spark: SparkSession, path: str, join_key: str | None = None, **opti
     bad = "__bad"
     fields = T.StructType([T.StructField(n, T.StringType()) for n in [*names, bad]])
     rows = spark.read.options(**how | {"header": True, "columnNameOfCorruptRecord": bad, "enforceSchema": True}).schema(fields).csv(path)
-    # the length, as a plain test for null would be pushed into the scan, where the column isn't filled yet
-    if odd := rows.where(F.length(bad) >= 0).select(*names, bad).limit(1).collect():
+    # a test for null would be pushed into the scan, where the column isn't filled yet
+    if odd := rows.where(F.coalesce(F.length(bad), F.lit(-1)) >= 0).select(*names, bad).limit(1).collect():
         raise ValueError(f"the header and the rows don't fit together: {odd[0][bad][:100]}")
     typed = infer(rows.drop(bad), {key} - {None})
     return (typed.withColumn(key, strip(F.col(key))) if key else typed), mapping

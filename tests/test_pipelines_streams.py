@@ -50,7 +50,9 @@ def test_csv_types(spark, tmp_path):
     big.write_text("a,b\n9223372036854775807,9223372036854775808\n01,1\n")
     df, _ = files.read_csv(spark, str(big), "a")
     assert df.dtypes == [("a", "string"), ("b", "double")] and [r.a for r in df.collect()] == ["9223372036854775807", "01"]
-    for text in ("a,a\n1,2\n", "a,A\n1,2\n", "a,b\n1\n", "a,b\n1,2,3\n"):
+    big.write_text("a,A,\n1,2,3\n")
+    assert [tuple(r) for r in files.read_csv(spark, str(big))[0].select("a", "a_1", "col_2").collect()] == [(1, 2, 3)]
+    for text in ("", "a,b\n1\n", "a,b\n1,2,3\n"):
         big.write_text(text)
         with pytest.raises(ValueError):
             files.read_csv(spark, str(big))
