@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnlake.functions import headers, names
-from cairnlake.functions.types import column_schema_frame
+from cairnlake.functions import names
 from cairnlake.lineage import shared_dir
 from cairnlake.operators import catalog as c
 from cairnlake.operators import manifests as m
@@ -153,14 +152,12 @@ def activity_hours(spark: SparkSession, d: str) -> DataFrame:
 
 
 def activity_stream(spark: SparkSession, d: str) -> DataFrame:
-    """The same hours from a stream of the log, written to the shared folder and read back."""
-    import uuid
-
+    """The same hours from a stream of the log: entries that come again within a day count once, and an hour comes out when
+    it can't change any more, a day after its end. Written to the shared folder and read back."""
     base = f"{shared_dir(spark)}/stream_{uuid.uuid4().hex}"
-    schema = table(spark, d, "activity_logs").schema
-    logs = spark.readStream.schema(schema).parquet(d + "/activity_logs.parque[t]")
-    counted = windowed_activity(logs.select("log_id", "logged_at", "action"), late="10000 days")
-    query = counted.writeStream.outputMode("complete").option("checkpointLocation", base + "/checkpoint").foreachBatch(lambda b, _: b.write.mode("overwrite").parquet(base + "/out")).trigger(availableNow=True).start()
+    logs = spark.readStream.schema(table(spark, d, "activity_logs").schema).parquet(d + "/activity_logs.parque[t]")
+    once = logs.select("log_id", F.col("logged_at").cast("timestamp").alias("logged_at"), "action").withWatermark("logged_at", "1 day").dropDuplicatesWithinWatermark(["log_id"])
+    query = windowed_activity(once).writeStream.outputMode("append").format("parquet").option("checkpointLocation", base + "/checkpoint").option("path", base + "/out").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.parquet(base + "/out").select(F.col("start").cast("timestamp_ntz").alias("start"), "action", "entries")
 
@@ -189,21 +186,6 @@ def unseen_manifests(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "manifests").select("batch_id").distinct().join(table(spark, d, "runs").select("batch_id").distinct(), "batch_id", "left_anti")
 
 
-HEADERS = ("First Name", "Age (Years)", "", "Name", "Name", "_Name", "4th Item", "Email.Address", "b" * 100)
-_NAMES = ("first_name", "age_years", "col_2", "name", "name_1", "name_2", "_4th_item", "email_address", "b" * 63)
-
-
-def normalized_headers(spark: SparkSession, d: str) -> DataFrame:
-    """Headers as column names."""
-    return spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(zip(HEADERS, headers.normalize(HEADERS)[1]))], "place int, header string, name string")
-
-
-def column_schemas(spark: SparkSession, d: str) -> DataFrame:
-    """Canonical types of the columns of three tables."""
-    parts = [column_schema_frame(table(spark, d, t)).select(F.lit(t).alias("table_name"), "name", "type_name", "logical_type") for t in ("events", "embeddings", "region")]
-    return reduce(DataFrame.unionByName, parts)
-
-
 _A = "(SELECT DISTINCT ON (asset_id) * FROM assets ORDER BY asset_id)"
 _M = "(SELECT DISTINCT ON (batch_id) * FROM manifests ORDER BY batch_id)"
 _EDGES = """e AS (
@@ -224,7 +206,7 @@ QUERIES = {
     for f in (
         list_assets, list_manifests, list_runs, activity_page, latest_versions, next_versions, all_versions, next_reruns, repeated_contents, lineage, lineage_parents, lineage_children, lineage_graph,
         keyword_search, phrase_search, asset_faults, manifest_faults, run_requests, audit_first, run_states, linked_assets, activity_hours, activity_stream, file_paths, run_schemas, clean_keywords,
-        unseen_manifests, normalized_headers, column_schemas,
+        unseen_manifests,
     )
 }
 SQL = {
@@ -270,7 +252,7 @@ SELECT fault, count(DISTINCT batch_id) AS manifests FROM (SELECT batch_id, unnes
     "run_states": "WITH e AS (SELECT DISTINCT log_id, resource_id AS run, replace(replace(action, 'run_', ''), 'started', 'running') AS status, logged_at AS t FROM activity_logs WHERE resource_type = 'run') SELECT run, arg_max(status, (t, status)) AS status, max(t) AS updated_at, max(t) FILTER (status IN ('success', 'failure', 'canceled')) AS completed_at FROM e GROUP BY run",
     "linked_assets": "WITH r AS (SELECT DISTINCT ON (run_id) run_id, asset_ids FROM runs ORDER BY run_id), a AS (SELECT run_id, list(DISTINCT asset_id) AS more FROM assets GROUP BY run_id) SELECT run_id, len(list_distinct(list_concat(coalesce(asset_ids, []), coalesce(more, [])))) + (len(list_filter(coalesce(asset_ids, []), lambda x: x IS NULL)) > 0)::INT AS assets FROM r LEFT JOIN a USING (run_id)",
     "activity_hours": "SELECT date_trunc('hour', logged_at) AS start, action, count(*) AS entries FROM (SELECT DISTINCT log_id, logged_at, action FROM activity_logs) GROUP BY ALL",
-    "activity_stream": "SELECT date_trunc('hour', logged_at) AS start, action, count(*) AS entries FROM activity_logs GROUP BY ALL",
+    "activity_stream": "WITH o AS (SELECT DISTINCT log_id, logged_at, action FROM activity_logs) SELECT date_trunc('hour', logged_at) AS start, action, count(*) AS entries FROM o WHERE date_trunc('hour', logged_at) + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(logged_at)) FROM o) - INTERVAL 1 DAY GROUP BY ALL",
     "file_paths": r"""SELECT path, CASE WHEN ok THEN regexp_extract(bare, '^([^/]+)/', 1) END AS bucket, CASE WHEN ok THEN regexp_replace(bare, '^[^/]+/', '') END AS key, regexp_replace(path, '^s3://', '/vsis3/') AS virtual_path,
  CASE ext WHEN 'geojson' THEN 'GeoJSON' WHEN 'json' THEN 'GeoJSON' WHEN 'shp' THEN 'SHP' WHEN 'gpkg' THEN 'GPKG' WHEN 'tif' THEN 'GTiff' WHEN 'tiff' THEN 'GTiff' WHEN 'csv' THEN 'CSV' WHEN 'parquet' THEN 'Parquet' ELSE 'GeoJSON' END AS format,
  CASE ext WHEN 'parquet' THEN 'application/vnd.apache.parquet' WHEN 'tif' THEN 'image/tiff' WHEN 'tiff' THEN 'image/tiff' WHEN 'json' THEN 'application/json' WHEN 'geojson' THEN 'application/geo+json' WHEN 'gpkg' THEN 'application/geopackage+sqlite3' ELSE 'application/octet-stream' END AS content_type
@@ -279,6 +261,4 @@ FROM (SELECT *, regexp_matches(bare, '^[a-z0-9][a-z0-9.-]{1,61}[a-z0-9]/.') AS o
     "clean_keywords": r"""WITH k AS (SELECT batch_id, list_filter(list_transform(metadata.keywords, lambda k: trim(k, ' ' || chr(9) || chr(10) || chr(13) || chr(160))), lambda k: k <> '') AS ks FROM manifests)
 SELECT DISTINCT batch_id, array_to_string(list_filter(ks, lambda x, i: list_position(ks, x) = i), '|') AS keywords FROM k""",
     "unseen_manifests": "SELECT DISTINCT batch_id FROM manifests WHERE batch_id NOT IN (SELECT batch_id FROM runs WHERE batch_id IS NOT NULL)",
-    "normalized_headers": "SELECT * FROM (VALUES " + ", ".join(f"({i}::INT, '{a}', '{b}')" for i, (a, b) in enumerate(zip(HEADERS, _NAMES))) + ") t(place, header, name)",
-    "column_schemas": "SELECT * FROM (VALUES ('events', 'event_id', 'INTEGER', 'int64'), ('events', 'ts', 'TIMESTAMP', 'timestamp[us]'), ('events', 'user_id', 'INTEGER', 'int64'), ('events', 'event_type', 'STRING', 'string'), ('events', 'value', 'FLOAT', 'double'), ('events', 'props', 'STRING', 'string'), ('embeddings', 'vec_id', 'INTEGER', 'int64'), ('embeddings', 'embedding', 'ARRAY', 'list<element: float>'), ('embeddings', 'label', 'INTEGER', 'int32'), ('region', 'r_regionkey', 'INTEGER', 'int32'), ('region', 'r_name', 'STRING', 'string')) t(table_name, name, type_name, logical_type)",
 }

@@ -90,10 +90,13 @@ def event_stream(spark: SparkSession, events: DataFrame, out: str, checkpoint: s
 
 
 def windowed_activity(logs: DataFrame, window: str = "1 hour", late: str = "1 day") -> DataFrame:
-    """Entries per window and action; works on a stream too, where entries later than ``late`` are left out."""
-    timed = logs.withColumn("at", F.col("logged_at").cast("timestamp"))
-    timed = timed.withWatermark("at", late) if logs.isStreaming else timed
-    return timed.groupBy(F.window("at", window).alias("w"), "action").agg(F.count(F.lit(1)).alias("entries")).select("w.start", "w.end", "action", "entries")
+    """Entries per window and action; works on a stream too, where entries later than ``late`` are left out (unless the stream
+    has a watermark on ``logged_at``, a timestamp, already)."""
+    timed = logs
+    if logs.schema["logged_at"].dataType.typeName() != "timestamp":
+        timed = logs.withColumn("logged_at", F.col("logged_at").cast("timestamp"))
+        timed = timed.withWatermark("logged_at", late) if logs.isStreaming else timed
+    return timed.groupBy(F.window("logged_at", window).alias("w"), "action").agg(F.count(F.lit(1)).alias("entries")).select("w.start", "w.end", "action", "entries")
 
 
 # --- cursors of readers that have no checkpoint ------------------------------------------------------------------
