@@ -20,7 +20,7 @@ def _sized(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", "source", F.regexp_extract(F.lower(F.trim("lang")), "^[a-z]+", 0).alias("lang"),
         F.regexp_extract("dataset_id", "^([a-z0-9]+_[a-z0-9]+)_", 1).alias("topic"), "text",
     )
-    return cut_lineage(token_counts(plain, ["doc_id", "source", "lang", "topic"], "text").distinct())
+    return token_counts(plain, ["doc_id", "source", "lang", "topic"], "text").distinct()
 
 
 def p7_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -30,7 +30,7 @@ def p7_mix(spark: SparkSession, d: str) -> DataFrame:
 
 def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     """The shares that the mix reaches, by source."""
-    sized, targets = _sized(spark, d), table(spark, d, "mix_targets")
+    sized, targets = cut_lineage(_sized(spark, d)), table(spark, d, "mix_targets")
     return shares(mixed(sized, targets), sized, targets)
 
 

@@ -30,7 +30,8 @@ from cairnlake.skew import broadcast_if_small
 BUCKETS = 64
 #: Documents for each of which there is one more bucket.
 PER_BUCKET = 1_000_000
-#: Cells that the driver fits at most: sources by languages by topics, all of them short lists by definition.
+#: Cells that the driver fits at most (about 100 MB and a minute); with more the mix is refused and never cut. Sources,
+#: languages and topics are short lists by definition: 200,000 cells are 20 sources by 50 languages by 200 topics.
 MOST_CELLS = 200_000
 ROUNDS = 200
 
@@ -94,7 +95,9 @@ def mixed(sized: DataFrame, targets: DataFrame, least_total: float = 0.1, bucket
 
     sized: doc_id, source, lang, topic, tokens; targets: source, target_share, max_repeats, one row per source.
     """
-    wanted = [(r.source, r.target_share, r.max_repeats) for r in targets.select(F.lower(F.trim("source")).alias("source"), "target_share", "max_repeats").limit(MOST_CELLS).collect()]
+    wanted = [(r.source, r.target_share, r.max_repeats) for r in targets.select(F.lower(F.trim("source")).alias("source"), "target_share", "max_repeats").limit(MOST_CELLS + 1).collect()]
+    if len(wanted) > MOST_CELLS:
+        raise ValueError(f"more than {MOST_CELLS} targets")
     names = {s: i for i, (s, _, _) in enumerate(wanted)}
     pool = sized.withColumn("source", F.lower(F.trim("source"))).where(F.col("source").isin(list(names)) & (F.col("tokens") > 0))
     pool = cut_lineage(pool.select("doc_id", "source", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("topic", F.lit("")).alias("topic"), "tokens").distinct())

@@ -5,6 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from cairnlake.llm import mixing
 from cairnlake.llm.mixing import fill, fit, mixed, shares
 
 
@@ -50,3 +51,13 @@ def test_empty(frames):
     sized, targets = frames
     assert mixed(sized.limit(0), targets).count() == 0 and mixed(sized, targets.limit(0)).count() == 0
     assert shares(mixed(sized.limit(0), targets), sized.limit(0), targets).count() == 3
+
+
+def test_too_many_cells_are_refused(frames, monkeypatch):
+    sized, targets = frames
+    monkeypatch.setattr(mixing, "MOST_CELLS", 2)
+    with pytest.raises(ValueError, match="targets"):
+        mixed(sized, targets)
+    monkeypatch.setattr(mixing, "MOST_CELLS", 3)
+    with pytest.raises(ValueError, match="cells"):
+        mixed(sized, targets)
