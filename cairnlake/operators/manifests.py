@@ -89,6 +89,26 @@ def faults(m: Column, keys: Column | None = None) -> Column:
     return F.filter(said, lambda f: f.isNotNull())
 
 
+def json_schema(kind: str | None = None) -> dict:
+    """The form of a manifest as a JSON Schema (draft 2020-12), for forms and other programs; ``kind`` is a hint for them.
+
+    It says what a schema can: keys, types, what is required and what values are known. The rules across fields are ``faults``.
+    """
+    if kind not in (None, "spatial", "tabular", "joined"):
+        raise ValueError(f"unknown kind of asset {kind!r}")
+    text, whole = {"type": "string"}, {"type": ["integer", "null"], "minimum": 1}
+
+    def record(properties: dict, required: tuple[str, ...]) -> dict:
+        return {"type": "object", "properties": properties, "required": list(required), "additionalProperties": False}
+
+    join = record({k: {"enum": [*HOWS, None]} if k == "how" else whole if k.endswith("version") else text for k in _names(JOIN)}, ("spatial_dataset_id", "tabular_dataset_id", "left_key"))
+    tags = {"type": "object", "additionalProperties": {"type": ["string", "number", "boolean", "null"]}}
+    meta = {k: text for k in (*REQUIRED_METADATA, "project")} | {"keywords": {"type": "array", "items": text}, "tags": tags, "join_config": {"anyOf": [join, {"type": "null"}]}}
+    file = record({"path": {"type": "string", "pattern": r"^(s3://)?[a-z0-9][a-z0-9.-]{1,61}[a-z0-9]/."}, "type": {"enum": list(FILE_TYPES)}, "format": text}, ("path", "type", "format"))
+    out = record({"batch_id": text, "uploader": text, "intent": text, "files": {"type": "array", "items": file}, "metadata": record(meta, REQUIRED_METADATA)}, REQUIRED)
+    return {"$schema": "https://json-schema.org/draft/2020-12/schema", "title": "manifest", **out} | ({"x-asset-type": kind} if kind else {})
+
+
 def route(intent: Column) -> Column:
     """spatial, tabular or join for intents with a pipeline of their own, ingest for all others."""
     return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in ROUTES.items() for x in kv]), intent), F.lit("ingest"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -20,6 +21,8 @@ from cairnlake.sources.files import read_csv, read_geojson, union_files
 
 Step = Callable[[DataFrame], DataFrame]
 ASSET = "asset_id string, s3_key string, dataset_id string, version int, content_hash string, run_id string, kind string, format string, crs string, bounds struct<minx:double,miny:double,maxx:double,maxy:double>, metadata struct<title:string,description:string,keywords:array<string>,source:string,license:string,attribution:string,tags:map<string,string>,header_mapping:map<string,string>,column_schema:map<string,struct<title:string,description:string,type_name:string,logical_type:string,nullable:boolean>>,geometry_type:string>, created_at timestamp, updated_at timestamp"
+ACTIVITY = "logged_at timestamp, username string, action string, resource_type string, resource_id string, details map<string,string>"
+MIGRATION = "version string, applied_at timestamp, duration_ms long"
 LINEAGE = "source_asset_id string, target_asset_id string, run_id string, transformation string, parameters map<string,string>, created_at timestamp"
 
 
@@ -91,10 +94,73 @@ class Lake:
         frame = self.spark.createDataFrame([row], ASSET).withColumns({"created_at": F.current_timestamp(), "updated_at": F.current_timestamp()})
         if wrong := [r.fault for r in catalog.asset_faults(frame).collect()]:
             raise ValueError("; ".join(wrong))
+        if not self.assets.where(F.col("s3_key") == written["s3_key"]).limit(1).isEmpty():
+            raise ValueError(f"there is an asset of {written['s3_key']} already")
         sink.append(frame, f"{self.root}/catalog/assets")
         return written | {"asset_id": asset_id, "run_id": run_id}
 
 
+    def log(self, username: str, action: str, resource_type: str, resource_id: str, **details: str) -> None:
+        """Append an entry to the activity log; ValueError for actions and resources that aren't known."""
+        if action not in catalog.ACTIONS or resource_type not in catalog.RESOURCES:
+            raise ValueError(f"unknown action or resource: {action}, {resource_type}")
+        row = self.spark.createDataFrame([(username, action, resource_type, resource_id, details)], ACTIVITY.replace("logged_at timestamp, ", ""))
+        sink.append(row.select(F.current_timestamp().alias("logged_at"), "*"), f"{self.root}/catalog/activity")
+
+    @property
+    def activity(self) -> DataFrame:
+        return self._table("activity", ACTIVITY)
+
+    def upload(self, landing: str, key: str, content: bytes, username: str, overwrite: bool = False) -> bool:
+        """A file put into the landing zone, and logged; False where one is there already."""
+        done = sink.put_file(self.spark, landing, key, content, overwrite)
+        if done:
+            self.log(username, "upload_file", "file", key, size=str(len(content)))
+        return done
+
+    def download(self, key: str, username: str) -> bytes:
+        """The bytes of an asset's file, logged; FileNotFoundError where there is none."""
+        content = sink.get_file(self.spark, self.root, key)
+        self.log(username, "download_asset", "asset", key, size=str(len(content)))
+        return content
+
+    def delete_upload(self, landing: str, key: str, username: str) -> bool:
+        """A file removed from the landing zone, and logged."""
+        done = sink.delete_file(self.spark, landing, key)
+        if done:
+            self.log(username, "delete_file", "file", key)
+        return done
+
+    def delete_manifest(self, landing: str, batch: str, username: str) -> None:
+        """The manifest of a batch removed before it is taken up, and logged; FileNotFoundError where there is none."""
+        key = f"manifests/{batch}.json"
+        if "/" in batch or not sink.remove(self.spark, f"{landing}/{key}"):
+            raise FileNotFoundError(key)
+        self.log(username, "delete_manifest", "manifest", batch, manifest_key=key)
+
+    def migrate(self, migrations: dict[str, Callable[[Lake], None]]) -> list[str]:
+        """Run the migrations that weren't applied yet, in order of version, and record each; the versions that were run.
+
+        One that fails isn't recorded, stops those after it and is tried again the next time. Only one of several runners
+        at once applies a version.
+        """
+        path, ran = f"{self.root}/catalog/migrations", []
+        discovered = self.spark.createDataFrame([(v,) for v in migrations], "version string")
+        for r in catalog.pending(discovered, self._table("migrations", MIGRATION)).collect():  # a row per migration
+            claim = f"{self.root}/catalog/.claims/{r.version}"
+            if not sink.make_once(self.spark, claim):
+                raise RuntimeError(f"migration {r.version} is under way or was broken off: {claim}")
+            began = time.monotonic()
+            try:
+                migrations[r.version](self)
+                took = int((time.monotonic() - began) * 1000)
+                sink.append(self.spark.createDataFrame([(r.version, took)], "version string, duration_ms long").select("version", F.current_timestamp().alias("applied_at"), "duration_ms"), path)
+            finally:
+                sink.remove(self.spark, claim)
+            ran.append(r.version)
+        return ran
+
+
 def dataset_id(manifest: dict) -> str:
     """The dataset a manifest's tags name, or a new one."""
     said = str((manifest["metadata"].get("tags") or {}).get("dataset_id") or "").strip()

@@ -222,10 +222,15 @@ def create_folder(spark: SparkSession, root: str, folder: str) -> bool:
     return not fs.exists(p) and bool(fs.mkdirs(p))
 
 
+def remove(spark: SparkSession, path: str) -> bool:
+    """Remove a file, wherever it is; False where there is none."""
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p) and not fs.getFileStatus(p).isDirectory() and fs.delete(p, False))
+
+
 def delete_file(spark: SparkSession, root: str, key: str) -> bool:
     """Remove a file that isn't protected; False where there is none."""
-    fs, p = _fs(spark, _landing(root, key))
-    return bool(fs.exists(p) and not fs.getFileStatus(p).isDirectory() and fs.delete(p, False))
+    return remove(spark, _landing(root, key))
 
 
 def delete_folder(spark: SparkSession, root: str, folder: str) -> bool:

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cairnlake.functions.geometry import box, point, z_order
+from cairnlake.operators.manifests import json_schema
 from cairnlake.plans.pipelines import Lake, clustered, ingest_tabular, ingest_vector, join_datasets, recipe, run_recipe
 from cairnlake.sinks import lake as sink
 from cairnlake.sources import files
@@ -99,6 +100,53 @@ def test_landing_zone(spark, tmp_path):
         sink.get_file(spark, root, "nope")
 
 
+def test_files_and_manifests_with_audit(spark, tmp_path):
+    lake, landing = Lake(spark, str(tmp_path / "lake")), str(tmp_path / "landing")
+    assert lake.upload(landing, "b/a.csv", b"x", "ann") and not lake.upload(landing, "b/a.csv", b"y", "ann") and lake.delete_upload(landing, "b/a.csv", "bob")
+    (tmp_path / "landing" / "manifests").mkdir()
+    (tmp_path / "landing" / "manifests" / "b1.json").write_text("{}")
+    lake.delete_manifest(landing, "b1", "ann")
+    for missing in ("b1", "../b1"):
+        with pytest.raises(FileNotFoundError):
+            lake.delete_manifest(landing, missing, "ann")
+    sink.put_file(spark, lake.root, "d/v1/f.bin", b"123")
+    assert lake.download("d/v1/f.bin", "cy") == b"123"
+    assert {(r.username, r.action, r.resource_type, r.resource_id) for r in lake.activity.collect()} == {("ann", "upload_file", "file", "b/a.csv"), ("bob", "delete_file", "file", "b/a.csv"), ("ann", "delete_manifest", "manifest", "b1"), ("cy", "download_asset", "asset", "d/v1/f.bin")}
+    with pytest.raises(ValueError):
+        lake.log("ann", "dance", "file", "x")
+
+
+def test_migrations(spark, tmp_path):
+    lake, done = Lake(spark, str(tmp_path)), []
+
+    def broken(_):
+        raise RuntimeError("no")
+
+    steps = {"002": lambda _: done.append("002"), "001": lambda _: done.append("001"), "003": broken}
+    with pytest.raises(RuntimeError, match="no"):
+        lake.migrate(steps)
+    assert done == ["001", "002"] and lake.migrate({**steps, "003": lambda _: done.append("003")}) == ["003"] and lake.migrate(steps) == []
+
+
+def test_one_asset_a_key(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    df = spark.range(3)
+    written = sink.write_version(df, lake.root, "d")
+    lake.record(written, "r", "tabular", df, META)
+    with pytest.raises(ValueError, match="already"):
+        lake.record(written, "r", "tabular", df, META)
+
+
+def test_schema_of_manifests():
+    schema = json_schema("tabular")
+    assert schema["x-asset-type"] == "tabular" and schema["required"] == ["batch_id", "uploader", "intent", "files", "metadata"] and not schema["additionalProperties"]
+    meta = schema["properties"]["metadata"]
+    assert set(meta["properties"]) == {"title", "description", "keywords", "source", "license", "attribution", "project", "tags", "join_config"} and "keywords" not in meta["required"]
+    assert schema["properties"]["files"]["items"]["properties"]["type"]["enum"] == ["raster", "vector", "tabular"] and json.loads(json.dumps(schema)) == schema
+    with pytest.raises(ValueError):
+        json_schema("x")
+
+
 def test_rows_that_lie_together_are_together(spark):
     rows = [(i, float(x), float(y)) for i, (x, y) in enumerate((x, y) for x in range(-160, 170, 40) for y in range(-80, 90, 20))]
     df = spark.createDataFrame([*rows, (999, None, None)], "id int, x double, y double").select("id", point(F.col("x"), F.col("y")).alias("geom"))
