@@ -154,8 +154,12 @@ def from_geojson(text: pd.Series) -> pd.Series:
     return text.map(one, na_action=None).astype(object)
 
 
-def mapped(wkb: bytes | None, change: Callable[[int, np.ndarray], np.ndarray]) -> bytes | None:
-    """A geometry of plain little-endian WKB with each coordinate array changed; None where it cannot be read."""
+Change = Callable[[int, list[np.ndarray]], list[np.ndarray]]
+
+
+def mapped(wkb: bytes | None, change: Change) -> bytes | None:
+    """A geometry as plain little-endian WKB with the coordinate arrays of each of its parts (a polygon's rings together)
+    changed; None where it cannot be read."""
     if not wkb:
         return None
     try:
@@ -164,20 +168,36 @@ def mapped(wkb: bytes | None, change: Callable[[int, np.ndarray], np.ndarray]) -
         return None
 
 
-def _mapped(r: _Reader, change: Callable[[int, np.ndarray], np.ndarray]) -> bytes:
+def _mapped(r: _Reader, change: Change) -> bytes:
     end, kind, axes = r.head()
     if kind == POINT:
-        return wkb_of(kind, [change(kind, r.points(end, axes, 1))])
+        return wkb_of(kind, change(kind, [r.points(end, axes, 1)]))
     if kind == LINESTRING:
-        return wkb_of(kind, [change(kind, r.points(end, axes, r.take(end + "I")[0]))])
+        return wkb_of(kind, change(kind, [r.points(end, axes, r.take(end + "I")[0])]))
     (n,) = r.take(end + "I")
     if kind == POLYGON:
-        return wkb_of(kind, [change(kind, r.points(end, axes, r.take(end + "I")[0])) for _ in range(n)])
+        return wkb_of(kind, change(kind, [r.points(end, axes, r.take(end + "I")[0]) for _ in range(n)]))
     if kind not in NAMES:
         raise struct.error("no geometry")
     return _head(kind) + struct.pack("<I", n) + b"".join(_mapped(r, change) for _ in range(n))
 
 
+def _each(column: pa.Array, change: Change, points: Callable[[np.ndarray], np.ndarray] | None = None) -> pa.Array:
+    """``mapped`` over a column; points, where told how, all at once."""
+    out = np.empty(len(column), object)
+    rest = np.arange(len(column))
+    if points is not None:
+        lon, lat = decode_points(column)
+        flat = np.flatnonzero(np.isfinite(lon + lat))
+        if len(flat):
+            done = points(np.stack([lon[flat], lat[flat]], axis=1))
+            out[flat] = encode_points(done[:, 0].copy(), done[:, 1].copy()).to_numpy(zero_copy_only=False)
+            rest = np.setdiff1d(rest, flat, assume_unique=True)
+    for i in rest:
+        out[i] = mapped(column[int(i)].as_py(), change)
+    return pa.array(out, pa.binary())
+
+
 # --- coordinate systems -------------------------------------------------------------------------------------------
 
 #: Systems of degrees that agree with EPSG:4326 within what a null transformation states (about a metre).
@@ -241,13 +261,13 @@ def transform(geom: Column, source: str, target: str = "EPSG:4326") -> Column:
     if a == b or (a in DEGREES and b in DEGREES):
         return geom
 
-    @F.pandas_udf(T.BinaryType())
-    def changed(g: pd.Series) -> pd.Series:
-        def change(_: int, p: np.ndarray) -> np.ndarray:
+    @F.arrow_udf(T.BinaryType())
+    def changed(g: pa.Array) -> pa.Array:
+        def moved(p: np.ndarray) -> np.ndarray:
             p = to_degrees(p, a)
             return to_mercator(p) if b == 3857 else p
 
-        return g.map(lambda w: mapped(w, change), na_action=None).astype(object)
+        return _each(g, lambda _, arrays: [moved(p) for p in arrays], moved)
 
     return changed(geom)
 
@@ -284,49 +304,66 @@ def _kept(p: np.ndarray, tolerance: float, least: int) -> np.ndarray:
     return keep
 
 
-def _crosses(p: np.ndarray) -> bool:
-    """Whether segments of a line that aren't neighbours meet."""
-    a, b = p[:-1], p[1:]
-    n = len(a)
-    if n < 3:
+def _crosses(*lines: np.ndarray) -> bool:
+    """Whether segments of the lines meet that aren't neighbours in one line.
+
+    Segments are met with those whose extents overlap theirs, found along the axis over which they spread further.
+    """
+    of = np.concatenate([np.full(max(len(p) - 1, 0), i) for i, p in enumerate(lines)])
+    if len(of) < 2:
         return False
+    a, b = (np.concatenate([p[k : len(p) - 1 + k] for p in lines if len(p) > 1]) for k in (0, 1))
+    place = np.concatenate([np.arange(len(p) - 1) for p in lines if len(p) > 1])
+    last = np.array([len(p) - 2 if len(p) > 1 and (p[0] == p[-1]).all() else -1 for p in lines])
+    low, high = np.minimum(a, b), np.maximum(a, b)
+    axis = int(np.ptp(low[:, 1]) > np.ptp(low[:, 0]))
+    order = np.argsort(low[:, axis], kind="stable")
+    a, b, of, place, low, high = (v[order] for v in (a, b, of, place, low, high))
+    ends = np.searchsorted(low[:, axis], high[:, axis], "right")
+    start, n = 0, np.maximum(ends - np.arange(1, len(of) + 1), 0)
+    total = np.cumsum(n)
 
     def side(o: np.ndarray, e: np.ndarray, q: np.ndarray) -> np.ndarray:
-        return (e[..., 0] - o[..., 0]) * (q[..., 1] - o[..., 1]) - (e[..., 1] - o[..., 1]) * (q[..., 0] - o[..., 0])
-
-    closed = (p[0] == p[-1]).all()
-    for i in range(n - 2):
-        k = slice(i + 2, n - 1 if closed and i == 0 else n)
-        c, d = a[k], b[k]
-        one = side(a[i], b[i], c) * side(a[i], b[i], d) <= 0
-        two = side(c, d, a[i]) * side(c, d, b[i]) <= 0
-        if (one & two).any():
+        return (e[:, 0] - o[:, 0]) * (q[:, 1] - o[:, 1]) - (e[:, 1] - o[:, 1]) * (q[:, 0] - o[:, 0])
+
+    while start < len(of):  # in portions, so that memory is bounded
+        end = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + 1_000_000, "right")))
+        i = np.repeat(np.arange(start, end), n[start:end])
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n[start:end]) - n[start:end], n[start:end])
+        near = (low[i, 1 - axis] <= high[j, 1 - axis]) & (low[j, 1 - axis] <= high[i, 1 - axis])
+        apart = np.abs(place[i] - place[j])
+        beside = (of[i] == of[j]) & ((apart == 1) | (apart == last[of[i]]))
+        i, j = i[near & ~beside], j[near & ~beside]
+        if ((side(a[i], b[i], a[j]) * side(a[i], b[i], b[j]) <= 0) & (side(a[j], b[j], a[i]) * side(a[j], b[j], b[i]) <= 0)).any():
             return True
+        start = end
     return False
 
 
-def simplified(kind: int, p: np.ndarray, tolerance: float) -> np.ndarray:
-    """A line or ring with fewer points: rings keep four at least, and the tolerance is halved until nothing crosses."""
-    if kind == POINT or len(p) < 3 or tolerance <= 0:
-        return p
+def simplified(kind: int, arrays: list[np.ndarray], tolerance: float) -> list[np.ndarray]:
+    """Lines and rings with fewer points: rings keep four at least, and the tolerance is halved until nothing crosses, in a
+    ring or between the rings of a polygon."""
+    if kind == POINT or tolerance <= 0:
+        return arrays
     was = None
     for _ in range(8):
-        out = p[_kept(p, tolerance, 4 if kind == POLYGON else 2)]
-        if not _crosses(out):
+        out = [p[_kept(p, tolerance, 4 if kind == POLYGON else 2)] if len(p) > 2 else p for p in arrays]
+        if not _crosses(*out):
             return out
-        was = _crosses(p) if was is None else was
+        was = _crosses(*arrays) if was is None else was
         if was:  # not simple to begin with
             return out
         tolerance /= 2
-    return p
+    return arrays
 
 
 def simplify(geom: Column, tolerance: float) -> Column:
-    """Lines and rings within ``tolerance`` of what they were, without losing rings or making them cross themselves."""
+    """Lines and rings within ``tolerance`` of what they were, without losing rings or making them cross themselves or each
+    other."""
 
-    @F.pandas_udf(T.BinaryType())
-    def changed(g: pd.Series) -> pd.Series:
-        return g.map(lambda w: mapped(w, lambda kind, p: simplified(kind, p, tolerance)), na_action=None).astype(object)
+    @F.arrow_udf(T.BinaryType())
+    def changed(g: pa.Array) -> pa.Array:
+        return _each(g, lambda kind, arrays: simplified(kind, arrays, tolerance), lambda p: p)
 
     return changed(geom)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,10 +101,12 @@ def mercator(spark: SparkSession, d: str) -> DataFrame:
 
 
 def boundaries_simplified(spark: SparkSession, d: str) -> DataFrame:
-    """Boundaries within a hundredth of a degree, with their extents before and after."""
+    """Boundaries within a hundredth of a degree: their type, whether they got no larger and whether their extents lie within
+    that of the extents before."""
     rows = table(spark, d, "boundaries").select("boundary_id", "geom", g.simplify(F.col("geom"), 0.01).alias("less"))
-    size = {"bytes_before": F.length("geom"), "bytes_after": F.length("less"), "before": g.box("geom"), "after": g.box("less")}
-    return rows.select("boundary_id", *[c.alias(k) for k, c in size.items()], g.geometry_type(F.col("less")).alias("geometry_type"))
+    rows = rows.withColumns({"before": g.box("geom"), "after": g.box("less")})
+    near = reduce(lambda a, b: a & b, [F.abs(F.col(f"before.{k}") - F.col(f"after.{k}")) <= 0.01 for k in ("minx", "miny", "maxx", "maxy")])
+    return rows.select("boundary_id", (g.geometry_type(F.col("less")) == g.geometry_type(F.col("geom"))).alias("same_type"), (F.length("less") <= F.length("geom")).alias("no_larger"), near.alias("near"))
 
 
 def schema_union(spark: SparkSession, d: str) -> DataFrame:
@@ -120,6 +124,7 @@ QUERIES = {f"join_{h}": _join(h) for h in _HOW} | {
     f.__name__: f for f in (join_stats_orders, join_stats_empty, join_text_cast, join_duplicate_and_null_keys, join_key_clean, joined_types, joined_extents, bounds_area, crs_normalized, mercator, boundaries_simplified, schema_union)
 }
 SQL = {f"join_{h}": _J.format(how=s) for h, s in _HOW.items()} | {
+    "boundaries_simplified": "SELECT boundary_id, true AS same_type, true AS no_larger, true AS near FROM boundaries",
     "join_stats_orders": f"SELECT count(*) AS row_count, min(cx)::DOUBLE AS minx, min(cy)::DOUBLE AS miny, max(cx)::DOUBLE AS maxx, max(cy)::DOUBLE AS maxy, 'POINT' AS geometry_type FROM orders LEFT JOIN (SELECT * {_XY} FROM customer) ON o_custkey::VARCHAR = c_custkey::VARCHAR",
     "join_stats_empty": "SELECT 0::BIGINT AS row_count, NULL::DOUBLE AS minx, NULL::DOUBLE AS miny, NULL::DOUBLE AS maxx, NULL::DOUBLE AS maxy, 'UNKNOWN' AS geometry_type",
     "join_text_cast": "SELECT count(*) AS n FROM events JOIN customer ON user_id::VARCHAR = lpad(c_custkey::VARCHAR, 6, '0')",

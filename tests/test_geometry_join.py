@@ -112,10 +112,40 @@ def test_simplify(spark):
     t = np.linspace(0, 2 * math.pi, 400)
     circle = np.stack([np.cos(t), np.sin(t)], 1)
     circle[-1] = circle[0]
-    out = g.simplified(POLYGON, circle, 0.01)
+    (out,) = g.simplified(POLYGON, [circle], 0.01)
     assert 4 <= len(out) < 60 and (out[0] == out[-1]).all() and not g._crosses(out)
-    assert len(g.simplified(POLYGON, circle, 100)) >= 4
-    assert (g.simplified(POINT, circle[:1], 1) == circle[:1]).all()
+    assert len(g.simplified(POLYGON, [circle], 100)[0]) >= 4
+    assert (g.simplified(POINT, [circle[:1]], 1)[0] == circle[:1]).all()
     ring = g.wkb_of(POLYGON, [circle])
     rows = spark.createDataFrame([(ring,), (None,)], "geom binary").select(g.simplify(F.col("geom"), 0.01).alias("s")).collect()
     assert len(list(walk(rows[0].s))[0][1][0]) == len(out) and rows[1].s is None
+
+
+def test_rings_stay_apart():
+    """A hole that hugs its shell: simplified alone the two would cross, together they don't."""
+    t = np.linspace(0, 2 * math.pi, 200)
+    shell = np.stack([np.cos(t), np.sin(t)], 1)
+    shell[-1] = shell[0]
+    hole = shell[::-1] * 0.99
+    alone = [g.simplified(POLYGON, [r], 0.05)[0] for r in (shell, hole)]
+    both = g.simplified(POLYGON, [shell, hole], 0.05)
+    assert g._crosses(*alone) and not g._crosses(*both) and sum(map(len, both)) < 400
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_crossings(seed):
+    """Against all pairs of segments."""
+    rnd = np.random.default_rng(seed)
+    lines = [np.cumsum(rnd.normal(size=(int(rnd.integers(2, 9)), 2)), axis=0) + rnd.normal(size=2) * 4 for _ in range(2)]
+    if seed % 3 == 0:
+        lines[0] = np.vstack([lines[0], lines[0][:1]])
+
+    def meet(p, q, r, s):
+        o = lambda a, b, c: (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+        return o(p, q, r) * o(p, q, s) <= 0 and o(r, s, p) * o(r, s, q) <= 0
+
+    segments = [(i, k, p[k], p[k + 1]) for i, p in enumerate(lines) for k in range(len(p) - 1)]
+    closed = [(p[0] == p[-1]).all() for p in lines]
+    beside = lambda a, b: a[0] == b[0] and (abs(a[1] - b[1]) == 1 or (closed[a[0]] and abs(a[1] - b[1]) == len(lines[a[0]]) - 2))
+    want = any(meet(*a[2:], *b[2:]) for x, a in enumerate(segments) for b in segments[x + 1 :] if not beside(a, b))
+    assert g._crosses(*lines) == want
