@@ -32,17 +32,20 @@ def _schema(columns: list[tuple[str, str]]) -> T.StructType:
 
 def _read(spark: SparkSession, path: str, pattern: str, describe: Callable[[bytes], list], parse: Callable[[bytes], Rows]) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content")
-    first = files.orderBy("path").limit(1).first()
+    first = files.agg(F.min("path")).first()[0]  # without the contents
     if first is None:
         raise ValueError(f"no {pattern} under {path}")
-    schema = _schema(describe(bytes(first.content)))
+    columns = describe(bytes(spark.read.format("binaryFile").load(first).select("content").first().content))
+    schema = _schema(columns)
     names = schema.names
     arrow = [pa.int32() if k == "int" else pa.int64() if k == "bigint" else pa.float64() if k == "double" else pa.bool_() if k == "boolean" else pa.binary() if k == "binary" else pa.string() for _, k in ((f.name, f.dataType.simpleString()) for f in schema.fields)]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for content in b.column("content"):
-                got = parse(content.as_py())
+            for content in (x.as_py() for x in b.column("content")):
+                if describe(content) != columns:
+                    raise ValueError(f"files of different columns under {path}")
+                got = parse(content)
                 for at in range(0, len(got), 10_000):
                     part = list(zip(*got[at : at + 10_000]))
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(part, arrow)], names)
