@@ -3,6 +3,7 @@
 import json
 import math
 import struct
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -149,3 +150,16 @@ def test_crossings(seed):
     beside = lambda a, b: a[0] == b[0] and (abs(a[1] - b[1]) == 1 or (closed[a[0]] and abs(a[1] - b[1]) == len(lines[a[0]]) - 2))
     want = any(meet(*a[2:], *b[2:]) for x, a in enumerate(segments) for b in segments[x + 1 :] if not beside(a, b))
     assert g._crosses(*lines) == want
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "right", "outer"])
+def test_hot_keys_give_the_same_join(spark, how):
+    """Keys split over tasks, whatever the join: null keys, repeated keys, maps among the columns, features without a row."""
+    rows = [(i, None if i % 7 == 0 else str(i % 5), {"a": str(i)}) for i in range(60)]
+    tabular = spark.createDataFrame(rows, "id int, k string, m map<string,string>")
+    spatial = spark.createDataFrame([("1", b"a"), ("1", b"b"), ("3", b"c"), ("9", b"d"), ("9", b"d"), (None, b"e"), ("4", None)], "key string, geom binary")
+    plain, hot, none = (
+        Counter((r.id, r.k, str(r.m), r.geom) for r in key_join(t, spatial, "k", "key", how, hot=h, rows=2).collect()) for t, h in ((tabular, False), (tabular, True), (tabular.where("k is null"), True))
+    )
+    assert plain == hot and sum(plain.values()) > 20
+    assert sum(none.values()) == {"left": 9, "inner": 0, "right": 7, "outer": 16}[how]

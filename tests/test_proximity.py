@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cairnlake.functions.geometry import wkb_of, wkb_of_geojson
 from cairnlake.functions.wkb import POLYGON
+from cairnlake.operators import proximity
 from cairnlake.operators.proximity import EARTH_M, _at, containing, neighbours, one_per_place, places, polygon_slabs, tile_slabs
 
 METRES = 30.0
@@ -82,7 +83,11 @@ def test_slabs_of_any_ring(ring, places_):
         assert (hits == [1]) == inside([ring], x, y)
 
 
-def test_regions(spark):
+@pytest.mark.parametrize("sent", [True, False])
+def test_regions(spark, monkeypatch, sent):
+    """By slabs that are sent to every executor and by a shuffle by tile."""
+    if not sent:
+        monkeypatch.setattr(proximity, "BROADCAST_BYTES", 0)
     hole = [[0.5, 0.5], [1.5, 0.5], [1.5, 1.5], [0.5, 1.5], [0.5, 0.5]]
     square = [[0, 0], [2, 0], [2, 2], [0, 2], [0, 0]]
     shapes = {1: {"type": "Polygon", "coordinates": [square, hole]}, 2: {"type": "MultiPolygon", "coordinates": [[square], [[[5, 5], [7, 5], [6, 8], [5, 5]]]]}, 3: {"type": "Polygon", "coordinates": [[[-1, -1], [3, -1], [1, 3.7], [-1, -1]]]}}
