@@ -69,3 +69,8 @@ def normalize(headers: Iterable[str], stop_words: Iterable[str] = (), short_form
         used.add(name)
         names.append(name)
     return dict(zip(headers, names)), names
+
+
+def shortened(headers: Iterable[str], stop_words: Iterable[str] = ()) -> tuple[dict[str, str], list[str]]:
+    """``normalize`` with the usual short forms in place of long words."""
+    return normalize(headers, stop_words, SHORT_FORMS)

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``. Where it is unset a local session (as in tests) gets a
+    temporary one; on a cluster that would be lost with its machine, so there it is an error."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir names no shared folder")
     own = tempfile.mkdtemp(prefix="checkpoints_")
     spark.sparkContext.setCheckpointDir(own)
     return own

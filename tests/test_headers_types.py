@@ -35,6 +35,11 @@ def test_words():
     assert [h.without_inner_vowels(w) for w in ("revenue", "service", "identification", "first_name", "id")] == ["rvne", "srvce", "idntfctn", "frst_nme", "id"]
 
 
+def test_usual_short_forms():
+    mapping, names = h.shortened(["Total Quantity", "Amount (Maximum)", "Geometry Reference", "Quantities", "The Description"], ["the"])
+    assert names == ["total_qty", "amt_max", "geom_ref", "quantities", "desc"] and mapping["Total Quantity"] == "total_qty"
+
+
 @given(st.lists(st.text(max_size=80), max_size=12))
 def test_names_are_different_identifiers(headers):
     names = h.normalize(headers)[1]
