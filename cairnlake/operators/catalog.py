@@ -25,8 +25,16 @@ def where_given(df: DataFrame, **values) -> DataFrame:
     return reduce(lambda d, kv: d.where(F.col(kv[0]) == F.lit(kv[1])), ((k, v) for k, v in values.items() if v is not None), df)
 
 
-def page(df: DataFrame, newest: str, tie: str, limit: int, offset: int = 0) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` from the newest on."""
+def page(df: DataFrame, newest: str, tie: str, limit: int, offset: int = 0, once: bool = False) -> DataFrame:
+    """Rows ``offset`` to ``offset + limit`` from the newest on.
+
+    With ``once`` rows that are repeated count once: their places are found among times and ids alone, and only the rows of
+    the page (``limit`` at most, so their ids can be sent) are fetched whole.
+    """
+    if once:
+        top = page(df.select(newest, tie).distinct(), newest, tie, limit, offset).withColumnRenamed(newest, "__at")
+        own = df.join(F.broadcast(top), tie).where(F.col(newest).eqNullSafe(F.col("__at"))).select(*df.columns).dropDuplicates([tie])
+        return own.orderBy(F.desc_nulls_last(newest), F.asc(tie))
     out = df.orderBy(F.desc_nulls_last(newest), F.asc(tie))
     return (out.offset(offset) if offset else out).limit(limit)
 
@@ -38,23 +46,23 @@ def next_pages(count: int, limit: int, offset: int) -> tuple[int | None, int | N
 
 def list_manifests(manifests: DataFrame, status: str | None = None, limit: int = 50) -> DataFrame:
     """Newest manifests with how many files they name."""
-    top = page(where_given(manifests, status=status), "ingested_at", "batch_id", limit)
+    top = page(where_given(manifests, status=status), "ingested_at", "batch_id", limit, once=True)
     return top.select("batch_id", "uploader", "intent", "status", F.coalesce("metadata.project", F.lit("")).alias("project"), F.coalesce(F.size("files"), F.lit(0)).alias("file_count"), "ingested_at", "completed_at")
 
 
 def list_assets(assets: DataFrame, kind: str | None = None, limit: int = 50) -> DataFrame:
     """Newest assets."""
-    return page(where_given(assets, kind=kind), "created_at", "asset_id", limit).select("asset_id", "dataset_id", "version", "kind", "format", F.col("metadata.title").alias("title"), "created_at")
+    return page(where_given(assets, kind=kind), "created_at", "asset_id", limit, once=True).select("asset_id", "dataset_id", "version", "kind", "format", F.col("metadata.title").alias("title"), "created_at")
 
 
 def list_activity(logs: DataFrame, limit: int = 50, offset: int = 0, **values) -> DataFrame:
     """Newest entries of the activity log, by user, action, resource type or id."""
-    return page(where_given(logs, **values), "logged_at", "log_id", limit, offset)
+    return page(where_given(logs, **values), "logged_at", "log_id", limit, offset, once=True)
 
 
 def list_runs(runs: DataFrame, status: str | None = None, limit: int = 25) -> DataFrame:
     """Newest runs."""
-    return page(where_given(runs, status=status), "started_at", "run_id", limit)
+    return page(where_given(runs, status=status), "started_at", "run_id", limit, once=True)
 
 
 def latest(assets: DataFrame, *keys: str) -> DataFrame:

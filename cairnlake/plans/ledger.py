@@ -25,22 +25,22 @@ def _one(spark, d, name, *keys):
 
 def list_assets(spark: SparkSession, d: str) -> DataFrame:
     """The newest spatial assets, a page of fifty."""
-    return c.list_assets(_one(spark, d, "assets", "asset_id"), "spatial")
+    return c.list_assets(table(spark, d, "assets"), "spatial")
 
 
 def list_manifests(spark: SparkSession, d: str) -> DataFrame:
     """The newest manifests that failed, a page of fifty."""
-    return c.list_manifests(_one(spark, d, "manifests", "batch_id"), "failure")
+    return c.list_manifests(table(spark, d, "manifests"), "failure")
 
 
 def list_runs(spark: SparkSession, d: str) -> DataFrame:
     """The newest runs, a page of twenty-five."""
-    return c.list_runs(_one(spark, d, "runs", "run_id")).select("run_id", "batch_id", "job_name", "status", "started_at")
+    return c.list_runs(table(spark, d, "runs")).select("run_id", "batch_id", "job_name", "status", "started_at")
 
 
 def activity_page(spark: SparkSession, d: str) -> DataFrame:
     """The second page of downloads."""
-    return c.list_activity(_one(spark, d, "activity_logs", "log_id"), 50, 50, action="download_asset", resource_type="asset").select("log_id", "logged_at", "username", "resource_id")
+    return c.list_activity(table(spark, d, "activity_logs"), 50, 50, action="download_asset", resource_type="asset").select("log_id", "logged_at", "username", "resource_id")
 
 
 def latest_versions(spark: SparkSession, d: str) -> DataFrame:
