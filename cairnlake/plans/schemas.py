@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairnlake.lineage import cut_lineage
 from cairnlake.operators.drift import consistent_rows, formats_by_run, schema_changes, successions, versions
+from cairnlake.skew import broadcast_if_small
 from cairnlake.sources.tables import table
 
 
@@ -26,8 +28,14 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_table(spark: SparkSession, d: str) -> DataFrame:
-    """All raw files as one table under the last schema of their dataset, a row per cell."""
-    return consistent_rows(table(spark, d, "raw_files"), versions(table(spark, d, "assets")), _changes(spark, d), table(spark, d, "format_names"))
+    """All raw files as one table under the last schema of their dataset, a row per cell. Only schemas of datasets that have
+    files are followed, and each is worked out once."""
+    files = table(spark, d, "raw_files")
+    with_files, _ = broadcast_if_small(files.select("dataset_id").distinct())
+    assets = table(spark, d, "assets").join(with_files, "dataset_id", "left_semi")
+    one = cut_lineage(versions(assets))
+    changes = cut_lineage(schema_changes(one, successions(assets)))
+    return consistent_rows(files, one, changes, table(spark, d, "format_names"))
 
 
 _TITLE = r"regexp_replace(lower(e.value.title), '[^\p{L}\p{N}]', '', 'g')"
