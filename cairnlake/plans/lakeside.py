@@ -204,14 +204,14 @@ def streamed_requests(spark: SparkSession, d: str) -> DataFrame:
     """Manifests in a folder, taken up by a stream: what runs are asked for, and those put aside."""
     base = _folder(spark)
     rows = table(spark, d, "manifests").select("batch_id", F.to_json(F.struct("batch_id", "uploader", "intent", "files", "metadata")).alias("value")).groupBy("batch_id").agg(F.min("value").alias("value"))
-    rows.select("value").coalesce(8).write.option("maxRecordsPerFile", 1).text(f"{base}/in")
-    # the writer names files .txt; manifests are .json
+    rows.select("value").write.text(f"{base}/in")
+    # the writer names files .txt; files of manifests, one a line, are .jsonl
     fs, p = sink._fs(spark, f"{base}/in")
-    for s in fs.listStatus(p):  # one small file a manifest, as they land
+    for s in fs.listStatus(p):  # one file a task
         name = s.getPath().getName()
         if name.endswith(".txt"):
-            fs.rename(s.getPath(), sink._fs(spark, f"{base}/in/{name[:-4]}.json")[1])
-    manifest_stream(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", files_per_batch=100_000).awaitTermination()
+            fs.rename(s.getPath(), sink._fs(spark, f"{base}/in/{name[:-4]}.jsonl")[1])
+    manifest_stream(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", lines=True).awaitTermination()
     asked = spark.read.parquet(f"{base}/out/requests").select("run_key", "lane", F.lit(False).alias("put_aside"))
     dead = spark.read.parquet(f"{base}/out/dead_letters").select(F.get_json_object("raw", "$.batch_id").alias("run_key"), F.lit(None).cast("string").alias("lane"), F.lit(True).alias("put_aside"))
     return asked.unionByName(dead)

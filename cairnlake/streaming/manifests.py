@@ -3,6 +3,9 @@
 The file source's checkpoint takes the place of a list of keys already seen. Batches may be repeated after a failure, so
 what is written is keyed: run requests by run key, audit entries by action and resource. A manifest that is invalid goes to
 the dead letters and never stops the stream. Files move to the archive once their batch is written.
+
+A file is one manifest (.json), or holds many, one a line (.jsonl): where manifests land by the million a file each would take
+more time and disk than all else. A manifest of a line is called by its file and the hash of the line.
 """
 
 from __future__ import annotations
@@ -34,10 +37,10 @@ def append_new(df: DataFrame, path: str, *keys: str) -> None:
     append(absent(df, spark.read.parquet(path), *keys) if _there(spark, path) else df.dropDuplicates(list(keys)), path)
 
 
-def route_batch(batch: DataFrame, out: str, archive: str | None = None, lanes: set[str] | None = None) -> None:
+def route_batch(batch: DataFrame, out: str, archive: str | None = None, lanes: set[str] | None = None, lines: bool = False) -> None:
     """One batch of (manifest_key, raw): requests of valid manifests, dead letters of the others, then the archive.
 
-    ``lanes`` limits what is asked for; manifests of other lanes stay where they are.
+    ``lanes`` limits what is asked for; manifests of other lanes stay where they are. Files of ``lines`` are whole in a batch.
     """
     spark = batch.sparkSession
     rows = parse(batch, "raw").withColumn("faults", faults(F.col("manifest"), F.col("keys"))).persist()
@@ -48,21 +51,27 @@ def route_batch(batch: DataFrame, out: str, archive: str | None = None, lanes: s
         append_new(requests.withColumn("requested_at", F.current_timestamp()), f"{out}/requests", "run_key")
         append_new(dead, f"{out}/dead_letters", "manifest_key")
         if archive:
-            done = requests.select(F.col("tags")["manifest_key"].alias("manifest_key")).unionByName(dead.select("manifest_key")).distinct()
-            for r in done.toLocalIterator():  # a manifest is one small file
+            done = requests.select(F.col("tags")["manifest_key"].alias("manifest_key")).unionByName(dead.select("manifest_key"))
+            done = rows.select(F.substring_index("manifest_key", "#", 1).alias("manifest_key")) if lines else done
+            for r in done.distinct().toLocalIterator():  # a manifest is one small file
                 move(spark, r.manifest_key, f"{archive}/{r.manifest_key.rsplit('/', 1)[1]}")
     finally:
         rows.unpersist()
 
 
-def manifest_stream(spark: SparkSession, landing: str, out: str, checkpoint: str, archive: str | None = None, lanes: set[str] | None = None, files_per_batch: int = 1_000, once: bool = True) -> StreamingQuery:
-    """Watch a folder of manifests; ``once`` takes what is there and stops."""
+def manifest_stream(spark: SparkSession, landing: str, out: str, checkpoint: str, archive: str | None = None, lanes: set[str] | None = None, files_per_batch: int = 1_000, once: bool = True, lines: bool = False) -> StreamingQuery:
+    """Watch a folder of manifests; ``once`` takes what is there and stops. With ``lines`` they are those of .jsonl files, one a
+    line (blank ones aside; one that a file repeats counts once), else .json files."""
+    if lines and lanes and archive:
+        raise ValueError("a file of lines can't be in the archive and stay where it is")
     source = (
-        spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+        spark.readStream.format("text").option("wholetext", not lines).option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl" if lines else "*.json")
         .option("maxFilesPerTrigger", files_per_batch).schema("value string").load(landing)
     )
-    rows = source.select(F.col("_metadata.file_path").alias("manifest_key"), F.col("value").alias("raw"))
-    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda b, _: route_batch(b, out, archive, lanes))
+    file = F.col("_metadata.file_path")
+    rows = source.select((F.concat(file, F.lit("#"), F.sha2("value", 256)) if lines else file).alias("manifest_key"), F.col("value").alias("raw"))
+    rows = rows.where(F.trim("raw") != "") if lines else rows
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda b, _: route_batch(b, out, archive, lanes, lines))
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="30 seconds")).start()
 
 

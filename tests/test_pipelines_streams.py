@@ -2,15 +2,18 @@
 
 import hashlib
 import json
+import os
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime as dt
 
 import pyarrow.parquet as pq
 import pytest
+from compare import DATA
 from pyspark.sql import functions as F
 
 from cairnlake.functions.geometry import box, point, z_order
 from cairnlake.operators.manifests import json_schema
+from cairnlake.plans import lakeside
 from cairnlake.plans.pipelines import Lake, clustered, ingest_tabular, ingest_vector, join_datasets, recipe, run_recipe
 from cairnlake.sinks import lake as sink
 from cairnlake.sources import files
@@ -253,6 +256,31 @@ def test_manifest_stream(spark, tmp_path):
     assert files.object_exists(spark, str(landing)) and not files.object_exists(spark, str(landing / "x"))
 
 
+def test_manifest_stream_of_lines(spark, tmp_path):
+    landing, line = tmp_path / "in", lambda **m: json.dumps({"uploader": "u", "intent": "ingest_tabular", "files": [{"path": "s3://landing/a.csv", "type": "tabular", "format": "CSV"}], "metadata": META, **m})
+    landing.mkdir()
+    (landing / "a.jsonl").write_text("\n".join([line(batch_id="1"), "{broken", "", line(batch_id="2", uploader="\n"), line(batch_id="1"), "{other", line(batch_id="3", intent="ingest_vector")]))
+    (landing / "b.jsonl").write_text(line(batch_id="4") + "\n{broken\n")
+    args = (spark, str(landing), str(tmp_path / "out"), str(tmp_path / "check"))
+    for _ in range(2):
+        stream.manifest_stream(*args, archive=str(tmp_path / "archive"), lines=True).awaitTermination()
+    assert sorted(r.run_key.split(":")[1] for r in spark.read.parquet(str(tmp_path / "out/requests")).collect()) == ["1", "2", "4"]
+    dead = spark.read.parquet(str(tmp_path / "out/dead_letters")).collect()
+    assert sorted((r.manifest_key.rsplit("/", 1)[1].split("#")[0], r.raw[:7]) for r in dead) == sorted([("a.jsonl", "{broken"), ("a.jsonl", "{other"), ("a.jsonl", line(batch_id="3")[:7]), ("b.jsonl", "{broken")])
+    assert {p.name for p in (tmp_path / "archive").glob("*.jsonl")} == {"a.jsonl", "b.jsonl"} and not list(landing.glob("*.jsonl"))
+    with pytest.raises(ValueError):
+        stream.manifest_stream(*args, archive=str(tmp_path / "archive"), lanes={"ingest"}, lines=True)
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
+def test_streamed_requests_makes_no_file_a_manifest(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lakeside, "_folder", lambda _: str(tmp_path))
+    rows = lakeside.streamed_requests(spark, DATA).count()
+    files_ = [p for p in (tmp_path / "in").iterdir() if p.suffix in (".json", ".jsonl")]
+    assert rows > 100 and sum(len(p.read_text().splitlines()) for p in files_) == spark.read.parquet(f"{DATA}/manifests.parquet").select("batch_id").distinct().count()
+    assert len(files_) <= 16
+
+
 def test_run_events(spark, tmp_path):
     rows = [("r1", "ingest_job", "STARTED", {"batch_id": "b"}, None, 1), ("r1", "ingest_job", "FAILURE", {"batch_id": "b", "operator": "o"}, "boom", 2), ("r2", "other", "STARTED", {}, None, 1), ("r3", "ingest_job", "SUCCESS", {}, None, 1), ("r4", "join_asset_job", "STARTED", {}, None, 1)]
     df = spark.createDataFrame([(*r[:5], dt(2024, 1, 1, r[5])) for r in rows], "run_id string, job_name string, event string, tags map<string,string>, error_message string, at timestamp")
